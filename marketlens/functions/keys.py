@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 NO_ENTITY = ("", "0", "none", "null")  # fixed values: texts that mean no candidate
 NO_KEY = (0, -1)  # fixed values: numbers that mean no key
-BLANKS = " \t\n\r\f\v "
+BLANKS = " \t\n\r\f\v\u00a0\u200b"
 
 
 def stripped(c: Column) -> Column:
