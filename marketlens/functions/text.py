@@ -15,7 +15,7 @@ def squeeze(c: Column) -> Column:
 
 def dedupe_list(c: Column, sep: str = ",") -> Column:
     """A list in one string without repeats and outer blanks, in order of first appearance."""
-    return F.array_join(F.array_distinct(F.transform(F.split(c, sep), F.trim)), sep)
+    return F.array_join(F.array_distinct(F.transform(F.split(c, sep), lambda x: F.trim(x))), sep)
 
 
 def weighted_document(parts: list[tuple[Column, int]]) -> Column:

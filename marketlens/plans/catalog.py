@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from marketlens.plans import general
+from marketlens.plans import general, relational, scalar, similar
 
-_MODULES = (general,)
-QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
-SQL = {k: q for m in _MODULES for k, q in m.SQL.items()}
+_REGISTRIES = (relational.R, scalar.R, similar.R)
+QUERIES = general.QUERIES | {k: f for r in _REGISTRIES for k, f in r.queries.items()}
+SQL = general.SQL | {k: q for r in _REGISTRIES for k, q in r.sql.items()}
+OPERATORS = {k: o for r in _REGISTRIES for k, o in r.operators.items()}
