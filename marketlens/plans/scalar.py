@@ -22,7 +22,7 @@ def title_case(t):  # noqa: ANN001, ANN202
     return t("jobs").select("jobid", F.initcap("jobtitle").alias("title"))
 
 
-@R.query("T3", "SELECT jobid, array_to_string(list_distinct_ordered, ',') AS skills FROM (SELECT jobid, list_reduce(list_prepend([]::VARCHAR[], list_transform(list_transform(regexp_split_to_array(keyskills, ','), lambda x: trim(x)), lambda x: [x])), lambda a, b: CASE WHEN list_contains(a, b[1]) THEN a ELSE list_concat(a, b) END) AS list_distinct_ordered FROM jobs)")
+@R.query("T3", "SELECT jobid, CASE WHEN keyskills IS NOT NULL THEN array_to_string(list_distinct_ordered, ',') END AS skills FROM (SELECT jobid, list_reduce(list_prepend([]::VARCHAR[], list_transform(list_transform(regexp_split_to_array(keyskills, ','), lambda x: trim(x)), lambda x: [x])), lambda a, b: CASE WHEN list_contains(a, b[1]) THEN a ELSE list_concat(a, b) END) AS list_distinct_ordered, keyskills FROM jobs)")
 def deduped_lists(t):  # noqa: ANN001, ANN202
     return t("jobs").select("jobid", text.dedupe_list(F.col("keyskills")).alias("skills"))
 
@@ -90,10 +90,10 @@ def stemmed_words(t):  # noqa: ANN001, ANN202
     return words.groupBy(light_stem("word").alias("stem")).agg(F.sum("n").alias("n"))
 
 
-@R.query("T14", "WITH w AS (SELECT lower(trim(attvaluecustom)) AS typed, count(*) AS n FROM recruiter_jobattribute WHERE atttype = 13 AND attvaluecustom IS NOT NULL GROUP BY 1) SELECT typed, n, min(lower(city_desc)) AS city FROM w JOIN lookup_city ON levenshtein(typed, lower(city_desc)) <= 1 GROUP BY 1, 2")
+@R.query("T14", "WITH w AS (SELECT lower(trim(attvaluecustom, ' ')) AS typed, count(*) AS n FROM recruiter_jobattribute WHERE atttype = 13 AND regexp_full_match(attvaluecustom, '[ -~]*') GROUP BY 1) SELECT typed, n, min(lower(city_desc)) AS city FROM w JOIN lookup_city ON levenshtein(typed, lower(city_desc)) <= 1 GROUP BY 1, 2")
 def spelling_corrected(t):  # noqa: ANN001, ANN202
-    """Distinct typed names against the fixed list of cities: one edit leaves the first or the last half of a word unchanged."""
-    typed = t("recruiter_jobattribute").where("atttype = 13 AND attvaluecustom IS NOT NULL").groupBy(F.lower(F.trim("attvaluecustom")).alias("typed")).agg(F.count(F.lit(1)).alias("n"))
+    """Distinct typed ASCII names against the fixed list of cities: one edit leaves the first or the last half of a word unchanged."""
+    typed = t("recruiter_jobattribute").where((F.col("atttype") == 13) & F.col("attvaluecustom").rlike("^[ -~]*$")).groupBy(F.lower(F.trim("attvaluecustom")).alias("typed")).agg(F.count(F.lit(1)).alias("n"))
     cities = t("lookup_city").select(F.lower("city_desc").alias("city")).withColumn("h", F.floor(F.length("city") / 2).cast("int"))
     left = cities.select("city", "h", F.substring("city", F.lit(1), F.col("h")).alias("half"), F.lit("l").alias("side"))
     right = cities.select("city", (F.length("city") - F.col("h")).alias("h"), F.substring("city", F.col("h") + 1, F.length("city") - F.col("h")).alias("half"), F.lit("r").alias("side"))
