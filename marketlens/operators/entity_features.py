@@ -75,11 +75,9 @@ def entity_features(
         F.max("_l").alias("last_total"),
         F.map_from_entries(F.collect_list(F.struct("_k", F.struct("_n", "_l")))).alias("_m"),
     )
-    columns = [F.col("_e").alias(entity), "n_total", "last_total"]
-    for name in types:
-        cell = F.try_element_at("_m", F.lit(name))
-        columns += [F.coalesce(cell["_n"], F.lit(0)).alias(f"n_{name}"), cell["_l"].alias(f"last_{name}")]
-    return per_entity.select(*columns)
+    dense = per_entity.withColumn("_a", F.transform(F.array(*map(F.lit, types)), lambda k: F.try_element_at("_m", k)))
+    cells = [x for i, k in enumerate(types) for x in (f"coalesce(_a[{i}]._n, 0L) AS `n_{k}`", f"_a[{i}]._l AS `last_{k}`")]
+    return dense.selectExpr(f"_e AS `{entity}`", "n_total", "last_total", *cells)
 
 
 def candidate_features(

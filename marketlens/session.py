@@ -68,6 +68,12 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, where its files are too small to make a split for each; large tables are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
