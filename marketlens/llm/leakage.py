@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.session import spread
+
 SEED = 5
 """Words of the shortest verbatim match that is looked for."""
 SEEDS = 3
@@ -175,7 +177,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, shared_items: int = 3, common_p
     of a document or an item count once; empty tables give no rows.
     """
     spark = docs.sparkSession
-    slim, parts = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL"), []
+    slim, parts = spread(docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")), []
     for block in _blocks(benchmark):
         lines: dict[tuple[str, ...], set[int]] = defaultdict(set)
         seen: Counter[str] = Counter()

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.session import written
+from marketlens.session import spread, written
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 ROWS_PER_BUCKET = 50_000
@@ -44,7 +44,7 @@ def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
                 sizes += [len(x.ids) for x in tok.encode_batch_fast([t or "" for t in texts[i : i + 256]], add_special_tokens=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64())], ["doc_id", "source", "tokens"])
 
-    return docs.select("doc_id", source_key(F.col("source")).alias("source"), "text").mapInArrow(count, "doc_id bigint, source string, tokens bigint")
+    return spread(docs.select("doc_id", source_key(F.col("source")).alias("source"), "text")).mapInArrow(count, "doc_id bigint, source string, tokens bigint")
 
 
 def weighted_mix(sizes: DataFrame, targets: DataFrame, budget: int | None = None, seed: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -59,7 +59,7 @@ def weighted_mix(sizes: DataFrame, targets: DataFrame, budget: int | None = None
     Report: ``source, target_share, max_repeats, size_tokens, last_finish, reachable, mixed_tokens, actual_share``;
     a source whose last copy finishes before ``budget`` can't reach its share.
     """
-    spark = sizes.sparkSession
+    spark, sizes = sizes.sparkSession, sizes.select("doc_id", "source", "tokens")
     wanted = (
         targets.select(source_key(F.col("source")).alias("source"), F.col("target_share").cast("double").alias("target_share"), F.coalesce("max_repeats", F.lit(1)).cast("int").alias("max_repeats"))
         .where("source IS NOT NULL AND target_share > 0 AND max_repeats > 0")

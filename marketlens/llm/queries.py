@@ -24,18 +24,13 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return frequent.select(F.col("item_a").alias("skill_a"), F.col("item_b").alias("skill_b"))
 
 
-def _suggestions(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def p5_top_suggestions(spark: SparkSession, d: str) -> DataFrame:
     jobs = table(spark, d, "jobsuggestions").select("_id", F.explode("sj").alias("s"))
     pairs = table(spark, d, "similarprofiles")
-    return {
-        "jobsuggestions": top_bands.scored(jobs, F.col("_id"), F.col("s.job"), F.col("s.cossim")),
-        "similarprofiles": top_bands.scored(pairs, F.col("u1"), F.col("u2"), F.col("overall_sim")),
-    }
-
-
-def p5_top_suggestions(spark: SparkSession, d: str) -> DataFrame:
-    parts = [top_bands.top_items(rows).select(F.lit(src).alias("src"), "group_id", "item_id", "score", F.col("rank").cast("bigint").alias("rank")) for src, rows in _suggestions(spark, d).items()]
-    return reduce(DataFrame.unionByName, parts)
+    rows = top_bands.scored(jobs, F.col("_id"), F.col("s.job"), F.col("s.cossim"), "jobsuggestions").unionByName(
+        top_bands.scored(pairs, F.col("u1"), F.col("u2"), F.col("overall_sim"), "similarprofiles")
+    )
+    return top_bands.top_items(rows).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

@@ -18,27 +18,27 @@ from marketlens.session import written
 QUANTILES = (0.95, 0.8, 0.5)
 
 
-def scored(df: DataFrame, group: Column, item: Column, score: Column, low: int = 0, high: int = 1000) -> DataFrame:
-    """``group_id, item_id, score`` with a usable score in [low, high], a group, and an item that isn't the group itself."""
-    return df.select(group.cast("bigint").alias("group_id"), item.cast("bigint").alias("item_id"), score.cast("int").alias("score")).where(
+def scored(df: DataFrame, group: Column, item: Column, score: Column, source: str = "", low: int = 0, high: int = 1000) -> DataFrame:
+    """``src, group_id, item_id, score`` with a usable score in [low, high], a group, and an item that isn't the group itself."""
+    return df.select(F.lit(source).alias("src"), group.cast("bigint").alias("group_id"), item.cast("bigint").alias("item_id"), score.cast("int").alias("score")).where(
         F.col("group_id").isNotNull() & F.col("item_id").isNotNull() & F.col("score").between(low, high) & (F.col("group_id") != F.col("item_id"))
     )
 
 
 def _best(df: DataFrame, n: int) -> DataFrame:
     """Each item once, with its highest score; of those the first n of each group by score descending, then item."""
-    order = Window.partitionBy("group_id").orderBy(F.col("score").desc(), F.col("item_id").asc())
-    once = df.groupBy("group_id", "item_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("src", "group_id").orderBy(F.col("score").desc(), F.col("item_id").asc())
+    once = df.groupBy("src", "group_id", "item_id").agg(F.max("score").alias("score"))
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
 def top_items(rows: DataFrame, n: int = 10, quantiles: Sequence[float] = QUANTILES) -> DataFrame:
-    """``group_id, item_id, score, rank``: the first n items of each group by score descending, then item ascending.
+    """``src, group_id, item_id, score, rank``: the first n items of each group of each source by score descending, then item ascending.
 
-    ``rows``: as of ``scored``. All rows of a group are pooled; an item counts once, with its highest score; a group
-    with fewer items keeps all. Empty input gives no rows. A band keeps at most n items a group: an item ranked
-    lower inside its band has n better ones. Repeats of an item in lower bands can't hurt, for they come after as
-    many kept items of higher bands as they could push out.
+    ``rows``: as of ``scored``; several sources may be unioned. All rows of a group are pooled; an item counts once,
+    with its highest score; a group with fewer items keeps all. Empty input gives no rows. A band keeps at most n items
+    a group: an item ranked lower inside its band has n better ones. Repeats of an item in lower bands can't hurt, for
+    they come after as many kept items of higher bands as they could push out.
     """
     edges = rows.agg(F.percentile_approx("score", list(quantiles), 1000).alias("q")).first()["q"]
     lows = sorted({int(x) for x in edges or []}, reverse=True)
@@ -48,9 +48,10 @@ def top_items(rows: DataFrame, n: int = 10, quantiles: Sequence[float] = QUANTIL
         band = rows if high is None else rows.where(F.col("score") < high)
         band = band if low is None else band.where(F.col("score") >= low)
         if kept:
-            seen = reduce(DataFrame.unionByName, kept).select("group_id", "item_id").distinct()
-            filled = seen.groupBy("group_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= n)
-            band = band.join(filled, "group_id", "left_anti")
-        kept.append(written(_best(band, n).drop("rank"), "band"))
+            seen = reduce(DataFrame.unionByName, kept).select("src", "group_id", "item_id").distinct()
+            filled = seen.groupBy("src", "group_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= n)
+            band = band.join(filled, ["src", "group_id"], "left_anti")
+        best = _best(band, n).drop("rank")
+        kept.append(best if low is None else written(best, "band"))
         high = low
     return _best(reduce(DataFrame.unionByName, kept), n)
