@@ -75,9 +75,8 @@ def entity_features(
         F.max("_l").alias("last_total"),
         F.map_from_entries(F.collect_list(F.struct("_k", F.struct("_n", "_l")))).alias("_m"),
     )
-    dense = per_entity.withColumn("_a", F.transform(F.array(*map(F.lit, types)), lambda k: F.try_element_at("_m", k)))
-    cells = [x for i, k in enumerate(types) for x in (f"coalesce(_a[{i}]._n, 0L) AS `n_{k}`", f"_a[{i}]._l AS `last_{k}`")]
-    return dense.selectExpr(f"_e AS `{entity}`", "n_total", "last_total", *cells)
+    cells = [x for k in types for x in (f"coalesce(try_element_at(_m, '{k}')._n, 0L) AS `n_{k}`", f"try_element_at(_m, '{k}')._l AS `last_{k}`")]
+    return per_entity.selectExpr(f"_e AS `{entity}`", "n_total", "last_total", *cells)
 
 
 def candidate_features(
