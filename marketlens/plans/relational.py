@@ -501,3 +501,9 @@ def preference_pivot(t):  # noqa: ANN001, ANN202
 @R.query("F13 J11", "SELECT nullif(nullif(nullif(nullif(lower(trim(userid)), ''), '0'), 'none'), 'null') AS user_id, count(*) AS n FROM candidatematchinc GROUP BY 1 HAVING user_id IS NOT NULL")
 def normal_ids(t):  # noqa: ANN001, ANN202
     return t("candidatematchinc").groupBy(entity_id(F.col("userid")).alias("user_id")).agg(F.count(F.lit(1)).alias("n")).where("user_id IS NOT NULL")
+
+
+@R.query("F17", "SELECT startvendorid, registrationstartdate::DATE AS day, count(*) AS n FROM candidatestaticinc WHERE startvendorid > 0 AND registrationstartdate >= DATE '2014-01-01' GROUP BY 1, 2")
+def vendor_registrations(t):  # noqa: ANN001, ANN202
+    rows = t("candidatestaticinc").where("startvendorid > 0 AND registrationstartdate >= DATE '2014-01-01'")
+    return rows.groupBy("startvendorid", F.to_date("registrationstartdate").alias("day")).agg(F.count(F.lit(1)).alias("n"))

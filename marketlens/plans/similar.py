@@ -132,3 +132,21 @@ def forest_labels(t):  # noqa: ANN001, ANN202
     """The two likeliest labels of every document by a random forest."""
     rows = t("documents").where("text IS NOT NULL").select("doc_id", text.tokens(F.col("text")).alias("words"))
     return models.best_two(_labelled(t), rows, "doc_id", "label")
+
+
+@R.query("M5", f"WITH s AS (SELECT query_id, vec_id, label, similarity FROM {_COS} JOIN (SELECT vec_id, label FROM embeddings) USING (vec_id)), n AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS r FROM s), g AS (SELECT *, row_number() OVER (PARTITION BY query_id, label ORDER BY similarity DESC, vec_id) AS g FROM n WHERE r <= 300), t AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS rank FROM g WHERE g <= 2) SELECT query_id, vec_id, similarity, rank FROM t WHERE rank <= 10")
+def capped_neighbours(t):  # noqa: ANN001, ANN202
+    """Of the 300 nearest vectors the first ten with no more than two of any label."""
+    e = t("embeddings")
+    near = sim.cosine_neighbours(e, e.where("vec_id % 20 = 0"), "vec_id", "embedding", 300).drop("rank")
+    labelled = near.join(e.select(F.col("vec_id").cast("bigint").alias("vec_id"), "label"), "vec_id")
+    return rel.capped_top_k(labelled, "query_id", "label", [F.desc("similarity"), F.asc("vec_id")], 2, 10).select("query_id", "vec_id", "similarity", "rank")
+
+
+@R.query("M19", "SELECT jobid, (CASE WHEN title IS NULL OR title = '' THEN 0 WHEN length(title) < 10 THEN 1 WHEN length(title) < 25 THEN 2 ELSE 3 END + CASE WHEN k IS NULL OR k <= 1 THEN 1 WHEN k <= 5 THEN 2 ELSE 3 END + CASE WHEN displayname IS NULL THEN 0 ELSE 1 END)::INTEGER AS quality FROM (SELECT jobid, trim(jobtitle, ' ') AS title, len(regexp_split_to_array(keyskills, '[,;|]')) AS k, displayname FROM jobs)")
+def completeness_score(t):  # noqa: ANN001, ANN202
+    """How complete a posting is: title, skills and name, each in steps."""
+    title, k = F.trim("jobtitle"), F.size(F.split("keyskills", "[,;|]"))
+    n = F.when(title.isNull() | (title == ""), 0).when(F.length(title) < 10, 1).when(F.length(title) < 25, 2).otherwise(3)
+    m = F.when(F.col("keyskills").isNull() | (k <= 1), 1).when(k <= 5, 2).otherwise(3)
+    return t("jobs").select("jobid", (n + m + F.when(F.col("displayname").isNull(), 0).otherwise(1)).alias("quality"))
