@@ -104,32 +104,68 @@ class TestItems:
         step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         return place[order[np.repeat(low, many) + step]], np.repeat(query, many)
 
+    def solid(self, item: int, matched: np.ndarray) -> list[slice]:
+        """The solid passages among the matched words of an item, as spans of it."""
+        mine, out = self.own[self.starts[item] : self.starts[item + 1]], []
+        hits = np.flatnonzero(matched)
+        for part in np.split(hits, np.flatnonzero(np.diff(hits) > GAP + 1) + 1):
+            if len(part):
+                span = slice(part[0], part[-1] + 1)
+                own = mine[span]
+                if part[-1] + 1 - part[0] >= PASSAGE and matched[span].mean() >= SOLID and (not own.any() or matched[span][own].mean() >= SPECIFIC):
+                    out.append(span)
+        return out
+
     def held(self, text: np.ndarray, first: int, last: int, item: int, at: np.ndarray, query: np.ndarray) -> tuple[int, int, int]:
-        """Of one document (text[first:last]) and item: words held, longest verbatim match, its place in the document."""
+        """Of one document (text[first:last]) and item: words held, longest verbatim match, its place in the document.
+
+        An alignment keeps the order of the item. Passages in another order are found by aligning again what is left
+        of the item, around the matches there, with what is left of the document, as long as that adds a passage.
+        """
         start, end = self.starts[item], self.starts[item + 1]
-        item_ids, size = self.ids[start:end].tolist(), end - start
-        diagonals = np.sort(at - (query - start))
-        clusters = np.split(diagonals, np.flatnonzero(np.diff(diagonals) > 8) + 1)
+        item_ids, size = self.ids[start:end], end - start
+        order = np.argsort(at - (query - start), kind="stable")
+        at, query = at[order], query[order] - start
+        cuts = np.flatnonzero(np.diff(at - query) > 8) + 1
+        taken, used = np.zeros(size, bool), np.zeros(last - first, bool)  # words in solid passages, of the item and of the document
         solid = np.zeros(size, bool)
         longest, where = 0, 0
-        for cluster in clusters:
-            low, high = max(first, int(cluster[0]) - 8), min(last, int(cluster[-1]) + size + 8)
-            matched = np.zeros(size, bool)
-            for a, b, n in SequenceMatcher(None, item_ids, text[low:high].tolist(), autojunk=False).get_matching_blocks():
-                matched[a : a + n] = True
+
+        def align(a: int, b: int, low: int, high: int, rest: bool) -> bool:
+            """Aligns item[a:b] with text[low:high]; if ``rest``, without the words in passages so far. Tells whether it adds a passage."""
+            nonlocal longest, where
+            low, high = max(first, low), min(last, high)
+            mine, theirs = item_ids[a:b], text[low:high]
+            if rest:  # two values that agree with nothing
+                mine, theirs = np.where(taken[a:b], -1, mine), np.where(used[low - first : high - first], -2, theirs)
+            matched, place = np.zeros(size, bool), np.zeros(size, np.int64)
+            for i, j, n in SequenceMatcher(None, mine.tolist(), theirs.tolist(), autojunk=False).get_matching_blocks():
+                matched[a + i : a + i + n] = True
+                place[a + i : a + i + n] = np.arange(low + j - first, low + j - first + n)
                 if n > longest:
-                    longest, where = n, low + b - first
-            hits = np.flatnonzero(matched)
-            for part in np.split(hits, np.flatnonzero(np.diff(hits) > GAP + 1) + 1):
-                if len(part):
-                    span = slice(part[0], part[-1] + 1)
-                    own = self.own[start:end][span]
-                    if (
-                        part[-1] + 1 - part[0] >= PASSAGE
-                        and matched[span].mean() >= SOLID
-                        and (not own.any() or matched[span][own].mean() >= SPECIFIC)
-                    ):
-                        solid[part] = True
+                    longest, where = n, low + j - first
+            spans = self.solid(item, matched)
+            for span in spans:
+                solid[span] |= matched[span]
+                taken[span] = True
+                used[place[span][matched[span]]] = True
+            return bool(spans)
+
+        clusters = list(zip(np.split(at, cuts), np.split(query, cuts), strict=True))
+        for places, words_at in clusters:
+            diagonals = places - words_at
+            align(0, size, int(diagonals[0]) - 8, int(diagonals[-1]) + size + 8, False)
+        for places, words_at in clusters:
+            more = True
+            while more:
+                more = False
+                left = ~(taken[words_at] | taken[words_at + SEED - 1] | used[places - first] | used[places - first + SEED - 1])
+                edges = np.flatnonzero(np.diff(np.concatenate(([True], taken, [True])).astype(np.int8)))
+                for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+                    here = left & (words_at >= a) & (words_at + SEED <= b)
+                    if b - a >= PASSAGE and here.any():
+                        diagonals = (places - words_at)[here]
+                        more |= align(a, b, int(diagonals.min()) + a - 8, int(diagonals.max()) + b + 8, True)
         return int((solid & self.counts[start:end]).sum()), longest, where
 
 

@@ -47,6 +47,16 @@ def test_kinds_of_leaks(spark):
     assert longest[0][0] == len(words(text[0])) and longest[0][1] == len(words(docs[0][: docs[0].index(LINE)]))
 
 
+def test_neighbouring_passages_in_any_order(spark):
+    lines = [[sentence(n) for n in (15, 14, 13, 12)] for _ in range(6)]
+    bench = spark.createDataFrame([(i, f"{LINE} " + " ".join(x)) for i, x in enumerate(lines)], "item_id bigint, text string")
+    orders = {0: (1, 0), 1: (2, 1, 0), 2: (3, 2, 1, 0), 3: (1, 3, 0, 2), 4: (0, 1), 5: (0,)}
+    docs = {i: f"{filler(3)} {' '.join(lines[i][k] for k in order)} {filler(3)}" for i, order in orders.items()}
+    docs[6] = f"{filler(3)} {lines[5][0]} {filler(3)} {lines[5][0]}"  # one sentence twice
+    found = leaks(spark.createDataFrame([*docs.items()], "doc_id bigint, text string"), bench)
+    assert {(r.doc_id, r.item_id, r.words) for r in found.collect()} == {(0, 0, 29), (1, 1, 42), (2, 2, 54), (3, 3, 54), (4, 4, 29)}
+
+
 def test_empty_tables(spark):
     docs, bench = spark.createDataFrame([(1, ITEMS[0][1])], "doc_id bigint, text string"), spark.createDataFrame(ITEMS, "item_id bigint, text string")
     assert leaks(docs.limit(0), bench).count() == 0 and leaks(docs, bench.limit(0)).count() == 0
