@@ -92,6 +92,19 @@ def test_subjects_found(spark):
     assert hit / len(want) > 0.97 and hit / len(got) > 0.97
 
 
+def test_every_term_of_a_large_lexicon_counts(spark, monkeypatch):
+    name = lambda i: "x" + "".join("abcdefghij"[int(c)] for c in f"{i:05d}")
+    lines = [[name(100 * k + i) for i in range(100)] for k in range(200)]  # about 60,000 phrases
+    docs = [(3 * k + j, f"Court lawyer {' '.join(x)}.") for k, x in enumerate(lines) for j in range(3)]
+    docs.append((5000, f"{' '.join(lines[-1][-9:-5])}. {' '.join(lines[-1][-4:])}."))
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    labels, subjects = spark.createDataFrame([], "doc_id bigint, subject string"), spark.createDataFrame(DESCRIBED, "subject string, description string")
+    got = {tuple(r) for r in document_subjects(d, labels, subjects).collect()}
+    assert (5000, "law", 2, 1.0) in got
+    monkeypatch.setattr("marketlens.llm.subjects.BLOCK_TERMS", 1 << 20)
+    assert {tuple(r) for r in document_subjects(d, labels, subjects).collect()} == got
+
+
 def test_subjects_of_nothing(spark):
     labels, subjects = spark.createDataFrame([], "doc_id bigint, subject string"), spark.createDataFrame(DESCRIBED, "subject string, description string")
     docs = spark.createDataFrame([], "doc_id bigint, text string")
