@@ -1,4 +1,6 @@
 import datetime as dt
+import math
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -84,6 +86,47 @@ def test_co_application_equals_brute_force(spark):
         assert {(r.item_a, r.item_b): r.n_ab for r in sim.co_application(df, "u", "i", 5, chunk).collect()} == want
 
 
+def test_profile_neighbours_equal_brute_force(spark):
+    rng, edges = random.Random(3), (3, 8, 15, 25)
+    rows = []
+    for i in range(90):
+        e, s = rng.choice((-1, 0, 2, 5, 9)), rng.choice((-1, 0, 3, 6))
+        band = [1 + sum(v > x for x in edges) for v in (e, s)]
+        rows.append((i, i % 2, e, s, *band, rng.choice((-1, 1)), rng.choice(("", "a", "b")), rng.choice((-1, 4)), rng.choice(("", "cook", "head cook")), rng.sample("pqrst", rng.randrange(4))))
+    df = spark.createDataFrame(rows, "id bigint, fa int, experience int, salary int, exp_band int, sal_band int, ind int, subfa string, insti int, title string, skills array<string>")
+    got = {(r.query_id, r.id): r.similarity for r in sim.profile_neighbours(df, df.where("id < 30"), 501).collect()}
+
+    def weights(e):
+        raw = [b + s / (1 + math.exp(-g * (f * math.exp(r * max(e, 0)) - o))) for b, s, f, r, o, g in scoring.WEIGHTS]
+        return [w / sum(raw) for w in raw]
+
+    def part(n, a, b):
+        if a in (-1, "") or b in (-1, ""):
+            return 0.0
+        lo, hi = (min(a, b), max(a, b)) if n < 2 else (0, 0)
+        if n == 0:
+            return math.exp(-2 * hi) if lo == 0 else math.exp(-0.4 * ((hi - lo) / lo) ** 2 * lo)
+        if n == 1:
+            r = (hi - lo) / lo if lo else 0
+            return math.exp(-hi) if lo == 0 else math.exp(-1.3 * (0.2 * r**4 + 0.2 * r**2) * lo)
+        return float(a == b)
+
+    want, at = {}, (2, 3, 6, 7, 8, 9)
+    for x in rows[:30]:
+        w = weights(x[2])
+        for y in rows:
+            if x[0] == y[0] or x[1] != y[1] or abs(x[4] - y[4]) > 1 or abs(x[5] - y[5]) > 1:
+                continue
+            cheap = sum(w[n] * part(n, x[c], y[c]) for n, c in enumerate(at))
+            if cheap >= 0.6 * sum(w[n] for n, c in enumerate(at) if x[c] not in (-1, "")) - 1e-12:
+                a, b = set(x[10]), set(y[10])
+                dots, own, other = len(a & b), len(a), len(a & b)  # lengths over the query's skills
+                cosine = dots / math.sqrt(own * other) if dots else 0.0
+                want[x[0], y[0]] = cheap + w[6] * (0.7 * cosine**2 + 0.3 * (len(a & b) / len(a | b) if a | b else 0.0))
+    assert len(want) > 20 and got.keys() == want.keys()
+    assert all(got[p] == pytest.approx(want[p], abs=6e-5) for p in want)
+
+
 def test_daily_counts_keep_empty_days(spark):
     df = spark.createDataFrame([(dt.datetime(2015, 1, 2, 3),), (None,)], "t timestamp_ntz")
     assert [(str(r.day), r.n) for r in rel.daily_counts(df, "t", "2015-01-01", "2015-01-03").orderBy("day").collect()] == [("2015-01-01", 0), ("2015-01-02", 1), ("2015-01-03", 0)]
