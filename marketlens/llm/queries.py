@@ -72,6 +72,11 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_leaks(spark, d).select("doc_id", "item_id")
 
 
+def p7_verbatim(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold twenty words or more of an item in a row, by the suffix arrays alone."""
+    return leakage.verbatim_copies(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def p7_clean_documents(spark: SparkSession, d: str) -> DataFrame:
     """The documents that hold no test item."""
     return leakage.without_leaks(table(spark, d, "documents"), p7_leaks(spark, d)).select("doc_id", "source", "n_chars")
@@ -112,7 +117,7 @@ def p9_composition(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        p2_associations, p2_found, p5_top_suggestions, p5_found, p6_mapped, p6_found, p6_unmatched, p7_leaks, p7_found, p7_clean_documents,
+        p2_associations, p2_found, p5_top_suggestions, p5_found, p6_mapped, p6_found, p6_unmatched, p7_leaks, p7_found, p7_verbatim, p7_clean_documents,
         p8_mixture, p8_report, p8_found, p9_subjects, p9_found, p9_composition,
     )
 }
@@ -133,7 +138,18 @@ WITH u AS (
 o AS (SELECT src, group_id, item_id, max(score) AS score FROM u WHERE score BETWEEN 0 AND 1000 AND group_id <> item_id GROUP BY 1, 2, 3),
 r AS (SELECT *, row_number() OVER (PARTITION BY src, group_id ORDER BY score DESC, item_id) AS rank FROM o)
 """
+_COPIES = """
+WITH i AS (SELECT item_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+ig AS (SELECT item_id, p, array_to_string(w[p:p+19], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 18)) AS p FROM i)),
+dg AS (SELECT doc_id, p, array_to_string(w[p:p+19], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 18)) AS p FROM d)),
+m AS (SELECT DISTINCT doc_id, item_id, ig.p AS p, dg.p - ig.p AS diagonal FROM ig JOIN dg USING (g)),
+s AS (SELECT *, p - row_number() OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY p) AS run FROM m),
+r AS (SELECT doc_id, item_id, count(*) + 19 AS n FROM s GROUP BY doc_id, item_id, diagonal, run)
+SELECT doc_id, item_id, starts, longest FROM (SELECT doc_id, item_id, count(DISTINCT p) AS starts FROM m GROUP BY 1, 2) JOIN (SELECT doc_id, item_id, max(n) AS longest FROM r GROUP BY 1, 2) USING (doc_id, item_id)
+"""
 SQL: dict[str, str] = {
+    "p7_verbatim": _COPIES,
     "p2_associations": _SKILLS + "SELECT *, (n_ab * n_baskets) / (n_a * n_b) AS ratio FROM r",
     "p2_found": _SKILLS + "SELECT item_a AS skill_a, item_b AS skill_b FROM r WHERE 100 * n_ab >= n_baskets AND n_ab * n_baskets >= 3 * n_a * n_b",
     "p5_top_suggestions": _TOP + "SELECT * FROM r WHERE rank <= 10",

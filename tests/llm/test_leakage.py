@@ -1,6 +1,10 @@
 import random
 
-from marketlens.llm.leakage import leaks, without_leaks, words
+import numpy as np
+import pytest
+
+from marketlens.llm.leakage import TestItems as Items
+from marketlens.llm.leakage import leaks, verbatim_copies, without_leaks, words
 
 RNG = random.Random(2)
 WORDS = ["".join(RNG.choice("bcdfglmnprst") + RNG.choice("aeiou") for _ in range(3)) for _ in range(900)]
@@ -19,9 +23,9 @@ def filler(n=6):
     return " ".join(RNG.sample(FILL, n))
 
 
-def changed(text):
+def changed(text, every=11):
     w = text.split()
-    return " ".join("other" if i % 11 == 5 else x for i, x in enumerate(w))
+    return " ".join("other" if i % every == 5 else x for i, x in enumerate(w))
 
 
 def test_kinds_of_leaks(spark):
@@ -37,14 +41,19 @@ def test_kinds_of_leaks(spark):
         6: filler() + " " + LINE,  # a line that all items share
         7: filler() + " " + " ".join(text[7].split()[20:28]),  # too short
         8: "", 9: None, 10: filler(30) * 40 + text[10] + filler(30) * 40,
+        11: changed(text[8], 7),
     }
     df = spark.createDataFrame([*docs.items(), (0, docs[0])], "doc_id bigint, text string").selectExpr("*", "1 AS item_id", "'x' AS words")
     bench = spark.createDataFrame([*ITEMS, (99, None), (98, ""), ITEMS[0]], "item_id bigint, text string")
     found = leaks(df, bench)
-    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, i) for i in (0, 1, 2, 3, 4, 5, 10)}
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, i) for i in (0, 1, 2, 3, 4, 5, 10)} | {(11, 8)}
     assert {r.doc_id for r in without_leaks(df, found).collect()} == {6, 7, 8, 9}
     longest = {r.doc_id: (r.longest, r.place) for r in found.collect()}
     assert longest[0][0] == len(words(text[0])) and longest[0][1] == len(words(docs[0][: docs[0].index(LINE)]))
+    by = {r.doc_id: r.found_by for r in found.collect()}
+    assert by[0] == by[1] == by[2] == "suffix array" and by[11] == "alignment"
+    # which lines are shared and which words common doesn't depend on the blocks
+    assert sorted(map(tuple, leaks(df, bench, block_chars=100).collect())) == sorted(map(tuple, found.collect()))
 
 
 def test_neighbouring_passages_in_any_order(spark):
@@ -60,3 +69,29 @@ def test_neighbouring_passages_in_any_order(spark):
 def test_empty_tables(spark):
     docs, bench = spark.createDataFrame([(1, ITEMS[0][1])], "doc_id bigint, text string"), spark.createDataFrame(ITEMS, "item_id bigint, text string")
     assert leaks(docs.limit(0), bench).count() == 0 and leaks(docs, bench.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("least", [1, 2, 4])
+def test_suffix_arrays_equal_brute_force(least):
+    rng = random.Random(least)
+    for _ in range(150):
+        items = Items([(i, 0, [rng.choice("abc") for _ in range(rng.randrange(1, 15))], False) for i in range(3)], set(), least)
+        text = np.array([rng.randrange(0, 4) for _ in range(rng.randrange(1, 80))])
+        want = set()
+        for a in range(len(text)):
+            for b in range(len(items.ids)):
+                n = 0
+                while a + n < len(text) and items.ids[b + n] > 0 and text[a + n] == items.ids[b + n]:
+                    n += 1
+                if n >= least and not (a and b and items.ids[b - 1] > 0 and text[a - 1] == items.ids[b - 1]):
+                    want.add((a, b, n))
+        assert set(zip(*(x.tolist() for x in items.search(text)), strict=True)) == want
+
+
+def test_verbatim_copies(spark):
+    text = dict(ITEMS)
+    docs = [(1, "x " + text[1].upper()), (2, changed(text[2])), (3, None), (4, "")]
+    df, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([*ITEMS, (99, None)], "item_id bigint, text string")
+    for chars in (1 << 20, 200):
+        n = len(words(text[1]))
+        assert [tuple(r) for r in verbatim_copies(df, bench, block_chars=chars).collect()] == [(1, 1, n - 19, n)]
