@@ -96,8 +96,23 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d)[1]
 
 
+def _char_mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, d, "documents")
+    sizes = docs.select("doc_id", mixture.source_key(F.col("source")).alias("source"), F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("tokens"))
+    return mixture.weighted_mix(written(sizes, "sizes"), table(spark, d, "mix_targets"))
+
+
+def p8_char_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """The mixture with sizes in characters, which SQL can count."""
+    return _char_mix(spark, d)[0]
+
+
+def p8_char_report(spark: SparkSession, d: str) -> DataFrame:
+    return _char_mix(spark, d)[1].drop("last_finish")
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    """Sources whose last copy is through before the budget is spent: they can't reach their share."""
+    """Sources with no copy left in the queue at the moment of the fair cut: they can't reach their share."""
     return p8_report(spark, d).where("NOT reachable").select("source")
 
 
@@ -118,7 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         p2_associations, p2_found, p5_top_suggestions, p5_found, p6_mapped, p6_found, p6_unmatched, p7_leaks, p7_found, p7_verbatim, p7_clean_documents,
-        p8_mixture, p8_report, p8_found, p9_subjects, p9_found, p9_composition,
+        p8_mixture, p8_report, p8_found, p8_char_mixture, p8_char_report, p9_subjects, p9_found, p9_composition,
     )
 }
 
@@ -148,7 +163,22 @@ s AS (SELECT *, p - row_number() OVER (PARTITION BY doc_id, item_id, diagonal OR
 r AS (SELECT doc_id, item_id, count(*) + 19 AS n FROM s GROUP BY doc_id, item_id, diagonal, run)
 SELECT doc_id, item_id, starts, longest FROM (SELECT doc_id, item_id, count(DISTINCT p) AS starts FROM m GROUP BY 1, 2) JOIN (SELECT doc_id, item_id, max(n) AS longest FROM r GROUP BY 1, 2) USING (doc_id, item_id)
 """
+_MIX = r"""
+WITH k AS (SELECT doc_id, nullif(replace(trim(regexp_replace(lower(source), '[\s\pZ_-]+', ' ', 'g')), ' ', '_'), '') AS source, coalesce(length(text), 0)::BIGINT AS tokens FROM documents),
+t AS (SELECT nullif(replace(trim(regexp_replace(lower(source), '[\s\pZ_-]+', ' ', 'g')), ' ', '_'), '') AS source, sum(target_share) AS target_share, max(greatest(coalesce(max_repeats, 1), 0)) AS max_repeats
+  FROM mix_targets WHERE target_share > 0 GROUP BY 1 HAVING source IS NOT NULL),
+z AS (SELECT sum(tokens)::BIGINT AS budget FROM k), s AS (SELECT source, sum(tokens)::BIGINT AS size_tokens FROM k GROUP BY 1),
+o AS (SELECT doc_id, source, tokens, sum(tokens) OVER (PARTITION BY source ORDER BY ('0x' || substr(md5(doc_id || ':0'), 1, 15))::BIGINT, doc_id, tokens ROWS UNBOUNDED PRECEDING)::BIGINT AS upto FROM k WHERE source IS NOT NULL),
+c AS (SELECT doc_id, source, unnest(range(max_repeats))::INTEGER AS pass, tokens, size_tokens, target_share, upto FROM o JOIN s USING (source) JOIN t USING (source)),
+q AS (SELECT doc_id, source, pass, tokens, (pass * size_tokens + upto) / target_share AS finish FROM c),
+e AS (SELECT *, sum(tokens) OVER (ORDER BY finish, source, doc_id, pass ROWS UNBOUNDED PRECEDING) AS upto FROM q),
+m AS (SELECT doc_id, source, pass, tokens, finish FROM e, z WHERE upto <= budget)
+"""
 SQL: dict[str, str] = {
+    "p8_char_mixture": _MIX + "SELECT * FROM m",
+    "p8_char_report": _MIX + """SELECT t.source, t.target_share, t.max_repeats, coalesce(size_tokens, 0) AS size_tokens, NOT (max_repeats * coalesce(size_tokens, 0) < target_share * budget) AS reachable,
+        coalesce(x.n, 0)::BIGINT AS mixed_tokens, coalesce(x.n, 0) / (SELECT sum(tokens) FROM m) AS actual_share
+        FROM t LEFT JOIN s USING (source) LEFT JOIN (SELECT source, sum(tokens) AS n FROM m GROUP BY 1) x USING (source), z""",
     "p7_verbatim": _COPIES,
     "p2_associations": _SKILLS + "SELECT *, (n_ab * n_baskets) / (n_a * n_b) AS ratio FROM r",
     "p2_found": _SKILLS + "SELECT item_a AS skill_a, item_b AS skill_b FROM r WHERE 100 * n_ab >= n_baskets AND n_ab * n_baskets >= 3 * n_a * n_b",

@@ -53,7 +53,7 @@ def test_kinds_of_leaks(spark):
     by = {r.doc_id: r.found_by for r in found.collect()}
     assert by[0] == by[1] == by[2] == "suffix array" and by[11] == "alignment"
     # which lines are shared and which words common doesn't depend on the blocks
-    assert sorted(map(tuple, leaks(df, bench, block_chars=100).collect())) == sorted(map(tuple, found.collect()))
+    assert sorted(map(tuple, leaks(df, bench, block_chars=2500).collect())) == sorted(map(tuple, found.collect()))
 
 
 def test_neighbouring_passages_in_any_order(spark):
@@ -92,6 +92,6 @@ def test_verbatim_copies(spark):
     text = dict(ITEMS)
     docs = [(1, "x " + text[1].upper()), (2, changed(text[2])), (3, None), (4, "")]
     df, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([*ITEMS, (99, None)], "item_id bigint, text string")
-    for chars in (1 << 20, 200):
+    for chars in (1 << 20, 2500):
         n = len(words(text[1]))
         assert [tuple(r) for r in verbatim_copies(df, bench, block_chars=chars).collect()] == [(1, 1, n - 19, n)]

@@ -1,13 +1,14 @@
+import hashlib
 import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from marketlens.llm.mixture import token_counts, weighted_mix
+from marketlens.llm.mixture import _first_beyond, token_counts, weighted_mix
 from marketlens.llm.subjects import document_subjects
 
-TARGETS = [("A", 0.5, 1), ("b_b", 0.3, 3), ("c", 0.2, 10), ("none", 0.1, 2), ("zero", 0.0, 2), (None, 0.4, 1), ("nan", None, 1)]
+TARGETS = [("A", 0.5, 1), ("b_b", 0.3, 3), ("c", 0.2, 10), ("none", 0.1, 2), ("never", 0.1, 0), ("zero", 0.0, 2), (None, 0.4, 1), ("nan", None, 1)]
 
 
 def sizes(spark, rows):
@@ -16,14 +17,14 @@ def sizes(spark, rows):
 
 def test_mix_keeps_repeats_order_and_budget(spark):
     rng = random.Random(4)
-    rows = [(i, rng.choice(("a", "a", "a", "b_b", "c", None, "unknown")), rng.randrange(0, 400)) for i in range(800)]
+    rows = [(i, rng.choice(("a", "a", "a", "b_b", "c", "never", None, "unknown")), rng.randrange(0, 400)) for i in range(800)]
     targets = spark.createDataFrame(TARGETS, "source string, target_share double, max_repeats int")
     mix, report = weighted_mix(sizes(spark, rows), targets)
     got, total = mix.collect(), sum(r[2] for r in rows)
     size = Counter()
     for _, s, n in rows:
         size[s] += n
-    weight, most = {"a": 0.5, "b_b": 0.3, "c": 0.2, "none": 0.1}, {"a": 1, "b_b": 3, "c": 10, "none": 2}
+    weight, most = {"a": 0.5, "b_b": 0.3, "c": 0.2, "none": 0.1, "never": 0.1}, {"a": 1, "b_b": 3, "c": 10, "none": 2, "never": 0}
     assert sum(r.tokens for r in got) <= total and len({(r.doc_id, r["pass"]) for r in got}) == len(got)
     # brute force: the copies in order of finish time, cut at the budget
     upto, copies = Counter(), []
@@ -41,12 +42,39 @@ def test_mix_keeps_repeats_order_and_budget(spark):
         assert r.size_tokens == size[s] and r.reachable == (size[s] * most[s] / weight[s] >= total)
         assert r.mixed_tokens == sum(x.tokens for x in got if x.source == s) <= size[s] * most[s]
         assert r.actual_share == pytest.approx(r.mixed_tokens / sum(x.tokens for x in got))
-    full = [s for s, r in line.items() if r.reachable]
     cut = max(r.finish for r in got)
-    for s in full:  # what a source gives is its weight times the time of the cut, to a document
+    for s in (s for s, r in line.items() if r.reachable and r.last_finish > cut):  # what a source gives is its weight times the time of the cut, to a document
         assert abs(line[s].mixed_tokens - weight[s] * cut) <= 400
 
 
+def test_mix_of_skewed_shares(spark, monkeypatch):
+    """A tiny share, many repeats and short stretches: the same cut as by sorting all copies."""
+    monkeypatch.setattr("marketlens.llm.mixture.ROWS_PER_BUCKET", 20)
+    rng = random.Random(8)
+    rows = [(i, rng.choice(("a",) * 30 + ("b_b", "c")), rng.choice((0, 0, rng.randrange(300)))) for i in range(600)]
+    targets = spark.createDataFrame([("a", 0.9, 1), ("b_b", 1e-6, 2), ("c", 0.099999, 1000)], "source string, target_share double, max_repeats int")
+    mix, report = weighted_mix(sizes(spark, rows), targets)
+    total = sum(r[2] for r in rows)
+    got = sorted(mix.collect(), key=lambda r: (r.finish, r.source, r.doc_id, r["pass"]))
+    upto, copies = Counter(), []
+    size = Counter()
+    for _, s, n in rows:
+        size[s] += n
+    for i, s, n in sorted(rows, key=lambda r: (int(hashlib.md5(f"{r[0]}:0".encode()).hexdigest()[:15], 16), r[0])):
+        upto[s] += n
+        w, k = {"a": (0.9, 1), "b_b": (1e-6, 2), "c": (0.099999, 1000)}[s]
+        copies += [((p * size[s] + upto[s]) / w, s, i, p, n) for p in range(k)]
+    want, spent = [], 0
+    for c in sorted(copies):
+        spent += c[4]
+        if spent > total:
+            break
+        want.append(c)
+    assert [(r.finish, r.source, r.doc_id, r["pass"], r.tokens) for r in got] == want
+    assert {r.source: r.reachable for r in report.collect()} == {"a": size["a"] >= 0.9 * total, "b_b": 2 * size["b_b"] >= 1e-6 * total, "c": 1000 * size["c"] >= 0.099999 * total}
+    assert _first_beyond(mix, total - 1, 1) == _first_beyond(mix, total - 1, 10**6)
+
+
 def test_mix_of_nothing(spark):
     targets = spark.createDataFrame(TARGETS, "source string, target_share double, max_repeats int")
     mix, report = weighted_mix(sizes(spark, []), targets)
