@@ -121,7 +121,13 @@ def p9_subjects(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return p9_subjects(spark, d).select("doc_id", "subject")
+    """A document's subjects, two at most, as the cases are defined."""
+    return subjects.document_subjects(table(spark, d, "documents"), table(spark, d, "labels"), table(spark, d, "subjects"), most=2).select("doc_id", "subject")
+
+
+def p9_agreement(spark: SparkSession, d: str) -> DataFrame:
+    """Held-out labels by subject, and those that name an assigned subject."""
+    return subjects.held_out_agreement(table(spark, d, "documents"), table(spark, d, "labels"), table(spark, d, "subjects"))
 
 
 def p9_composition(spark: SparkSession, d: str) -> DataFrame:
@@ -133,7 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         p2_associations, p2_found, p5_top_suggestions, p5_found, p6_mapped, p6_found, p6_unmatched, p7_leaks, p7_found, p7_verbatim, p7_clean_documents,
-        p8_mixture, p8_report, p8_found, p8_char_mixture, p8_char_report, p9_subjects, p9_found, p9_composition,
+        p8_mixture, p8_report, p8_found, p8_char_mixture, p8_char_report, p9_subjects, p9_found, p9_agreement, p9_composition,
     )
 }
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlens.llm.mixture import _first_beyond, token_counts, weighted_mix
-from marketlens.llm.subjects import document_subjects
+from marketlens.llm.subjects import Chunk, document_subjects, thresholds
 
 TARGETS = [("A", 0.5, 1), ("b_b", 0.3, 3), ("c", 0.2, 10), ("none", 0.1, 2), ("never", 0.1, 0), ("zero", 0.0, 2), (None, 0.4, 1), ("nan", None, 1)]
 
@@ -120,6 +120,32 @@ def test_subjects_found(spark):
     assert hit / len(want) > 0.97 and hit / len(got) > 0.97
 
 
+def test_three_subjects_and_calibrated_thresholds(spark):
+    docs, truth = corpus(9)
+    three = [(2000 + i, ". ".join(f"Work on {VOCAB[k][j]} and look after the {VOCAB[k][j + 1]} daily" for k in VOCAB for j in range(3))) for i in range(3)]
+    d = spark.createDataFrame(docs + three, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, k, 1) for i, k in truth], "doc_id bigint, subject string, labeller int")
+    subjects = spark.createDataFrame(DESCRIBED, "subject string, description string")
+    got = {(r.doc_id, r.subject) for r in document_subjects(d, labels, subjects).collect()}
+    assert {(2000, k) for k in VOCAB} <= got
+    assert max(Counter(i for i, _ in {(r.doc_id, r.subject) for r in document_subjects(d, labels, subjects, most=2).collect()}).values()) == 2
+    shares = spark.createDataFrame([(i, "law", 3, 0.29 if i < 10 else 0.9) for i in range(40)] + [(100, "sport", 3, 0.5)], "doc_id bigint, subject string, sentences bigint, share double")
+    sample = spark.createDataFrame([(i, "law", True) for i in range(40)] + [(100, "sport", True), (101, "law", True)], "doc_id bigint, subject string, held_out boolean")
+    assert [tuple(r) for r in thresholds(shares, sample).collect()] == [("law", 0.29, 40)]
+
+
+def test_phrases_equal_brute_force():
+    texts = ["A b a b. C a b; a b c", "", "b b b\nd a b c d"]
+    chunk = Chunk(texts)
+    want = Counter()
+    for doc, lines in enumerate([["a b a b", "c a b", "a b c"], [], ["b b b", "d a b c d"]]):
+        for line in lines:
+            w = line.split()
+            want.update({(" ".join(w[i : i + n]), doc) for n in (1, 2, 3) for i in range(len(w) - n + 1)})
+    found = chunk.phrases(chunk.sentence, chunk.doc)
+    assert dict(zip(zip(found[0].to_pylist(), found[1].tolist(), strict=True), found[2].tolist(), strict=True)) == want
+
+
 def test_every_term_of_a_large_lexicon_counts(spark, monkeypatch):
     name = lambda i: "x" + "".join("abcdefghij"[int(c)] for c in f"{i:05d}")
     lines = [[name(100 * k + i) for i in range(100)] for k in range(200)]  # about 60,000 phrases
