@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,21 +37,18 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _reference(spark: SparkSession, d: str) -> DataFrame:
-    parts = (("lookup_city", "city", "city_id", "city_desc"), ("lookup_skill", "skill", "skill_id", "skill_desc"), ("lookup_subfunctionalarea", "subfa", "sub_field_id", "sub_field_enu"))
-    return reduce(
-        DataFrame.unionByName, [table(spark, d, t).select(F.lit(n).alias("list"), F.col(i).cast("bigint").alias("ref_id"), F.col(v).alias("value")) for t, n, i, v in parts]
-    )
+    return spark.sql(
+        """SELECT 'city' AS list, cast(city_id AS bigint) AS ref_id, city_desc AS value FROM {city}
+        UNION ALL SELECT 'skill', cast(skill_id AS bigint), skill_desc FROM {skill}
+        UNION ALL SELECT 'subfa', cast(sub_field_id AS bigint), sub_field_enu FROM {area}""",
+        city=table(spark, d, "lookup_city"), skill=table(spark, d, "lookup_skill"), area=table(spark, d, "lookup_subfunctionalarea"),
+    )
 
 
 def p6_mapped(spark: SparkSession, d: str) -> DataFrame:
-    reference = _reference(spark, d)
-    attributes = c.typed_values(table(spark, d, "recruiter_jobattribute"), "attid", "atttype", "attvalue", "attvaluecustom", c.RECRUITER_LISTS)
-    preferences = c.typed_values(table(spark, d, "candidatepreferences"), "candidatepreferencesid", "t", "v", "valuecustom", c.PREFERENCE_LISTS)
-    parts = [
-        c.canonical(attributes, reference).withColumn("src", F.lit("recruiter_jobattribute")),
-        c.canonical(preferences, reference, c.PREFERENCE_CUT).withColumn("src", F.lit("candidatepreferences")),
-    ]
-    return parts[0].unionByName(parts[1]).select("src", "rec_id", "list", "value", "ref_id", "distance")
+    attributes = c.typed_values(table(spark, d, "recruiter_jobattribute"), "recruiter_jobattribute", "attid", "atttype", "attvalue", "attvaluecustom", c.RECRUITER_LISTS)
+    preferences = c.typed_values(table(spark, d, "candidatepreferences"), "candidatepreferences", "candidatepreferencesid", "t", "v", "valuecustom", c.PREFERENCE_LISTS, c.PREFERENCE_CUT)
+    return c.canonical(spark.sql("SELECT * FROM {a} UNION ALL SELECT * FROM {p}", a=attributes, p=preferences), _reference(spark, d))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -61,7 +57,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_unmatched(spark: SparkSession, d: str) -> DataFrame:
     """The typed values that mean no entry, with the number of rows of each."""
-    return p6_mapped(spark, d).where("ref_id = 0").groupBy("src", "list", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+    return spark.sql("SELECT src, list, value, count(*) AS n_rows FROM {m} WHERE ref_id = 0 GROUP BY src, list, value", m=p6_mapped(spark, d))
 
 
 def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
@@ -180,7 +176,63 @@ q AS (SELECT doc_id, source, pass, tokens, (pass * size_tokens + upto) / target_
 e AS (SELECT *, sum(tokens) OVER (ORDER BY finish, source, doc_id, pass ROWS UNBOUNDED PRECEDING) AS upto FROM q),
 m AS (SELECT doc_id, source, pass, tokens, finish FROM e, z WHERE upto <= budget)
 """
+_PLAIN_SQL = (
+    "trim(regexp_replace(regexp_replace(regexp_replace(lower(translate({}, '" + "".join(a for a, _ in c._FOLD) + "', '" + "".join(b for _, b in c._FOLD) + "')), "
+    r"'[\pM\x{{AD}}\x{{200B}}-\x{{200F}}\x{{2060}}\x{{FEFF}}]', '', 'g'), '<[^>]*>|&#?[a-z0-9]+;', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'))"
+)
+_WORD_SQL = "CASE x " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in c.SHORTENED.items()) + " ELSE x END"
+_FIRST_SQL = "CASE WHEN len(w) > 1 THEN list_prepend(CASE w[1] " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in c.COMPASS.items()) + " ELSE w[1] END, w[2:]) ELSE w END"
+
+
+def _stripped_sql(source: str, side: str, phrases: str, extra: str) -> str:
+    taken, kept = ("w[1:i]", "w[i + 1:]") if side == "b" else ("w[len(w) - i + 1:]", "w[1:len(w) - i]")
+    return f"""SELECT f.list, f.value, f.cut, f.kept AS w, f.cost + f.i + {extra} AS cost FROM (SELECT *, {kept} AS kept, regexp_replace(array_to_string({taken}, ' '), '[0-9]', '#', 'g') AS taken
+    FROM (SELECT *, unnest(range(0, len(w))) AS i FROM {source})) f JOIN {phrases} n ON f.taken = n.phrase AND n.side = '{side}'"""
+
+
+#: All values against all forms of all entries, by levenshtein.
+_MAPPED = f"""
+WITH given AS (
+  SELECT 'recruiter_jobattribute' AS src, attid::BIGINT AS rec_id, CASE atttype WHEN 3 THEN 'skill' WHEN 12 THEN 'subfa' ELSE 'city' END AS list, attvaluecustom AS value, false AS cut
+  FROM recruiter_jobattribute WHERE atttype IN (3, 12, 13) AND coalesce(attvalue, 0) = 0
+  UNION ALL SELECT 'candidatepreferences', candidatepreferencesid::BIGINT, CASE t WHEN 3 THEN 'skill' WHEN 10 THEN 'subfa' ELSE 'city' END, valuecustom, coalesce(length(valuecustom) >= {c.PREFERENCE_CUT}, false)
+  FROM candidatepreferences WHERE t IN (3, 10, 8) AND coalesce(v, 0) = 0),
+typed AS (SELECT * FROM given WHERE trim(regexp_replace(value, '[\\s\\pZ]+', ' ', 'g')) <> ''),
+ref AS (SELECT 'city' AS list, city_id::BIGINT AS ref_id, {_PLAIN_SQL.format('city_desc')} AS words FROM lookup_city UNION ALL SELECT 'skill', skill_id, {_PLAIN_SQL.format('skill_desc')} FROM lookup_skill
+  UNION ALL SELECT 'subfa', sub_field_id, {_PLAIN_SQL.format('sub_field_enu')} FROM lookup_subfunctionalarea),
+known AS (SELECT DISTINCT list, words FROM ref WHERE words <> ''),
+p0 AS (SELECT list, value, cut, list_transform(string_split({_PLAIN_SQL.format('value')}, ' '), lambda x: {_WORD_SQL}) AS w FROM (SELECT DISTINCT list, value, cut FROM typed)),
+p AS (SELECT list, value, cut, string_split(array_to_string({_FIRST_SQL}, ' '), ' ') AS w FROM p0),
+o AS (SELECT DISTINCT list, w FROM p WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.list = p.list AND k.words = array_to_string(p.w, ' '))),
+cuts AS (SELECT list, w, unnest(range(1, len(w))) AS i FROM o),
+sides AS (SELECT list, 'b' AS side, array_to_string(w[1:i], ' ') AS phrase, array_to_string(w[i + 1:], ' ') AS name FROM cuts UNION ALL SELECT list, 'a', array_to_string(w[i + 1:], ' '), array_to_string(w[1:i], ' ') FROM cuts),
+n AS (SELECT side, regexp_replace(phrase, '[0-9]', '#', 'g') AS phrase, 0 AS extra FROM sides s JOIN known k ON s.list = k.list AND s.name = k.words WHERE phrase NOT IN (SELECT words FROM known)
+  GROUP BY 1, 2 HAVING count(DISTINCT s.list || ':' || name) >= {c.LEAST_ENTRIES} UNION ALL VALUES ('b', '', 0), ('a', '', 0)),
+e AS (SELECT DISTINCT 'a' AS side, trim(left(phrase, i)) AS phrase, 1 AS extra FROM (SELECT phrase, unnest(range(1, length(phrase))) AS i FROM n WHERE side = 'a') WHERE trim(left(phrase, i)) <> '' UNION ALL SELECT 'a', '', 0),
+f0 AS (SELECT list, value, cut, w, 0 AS cost FROM p WHERE array_to_string(w, '') <> ''),
+f1 AS ({_stripped_sql('f0', 'b', 'n', '0')}), f2 AS ({_stripped_sql('f1', 'a', 'n', '0')}), f3 AS ({_stripped_sql('f2', 'a', 'n', '0')}),
+f4 AS (SELECT list, value, cut, w, min(cost) AS cost FROM f3 GROUP BY ALL),
+f5 AS ({_stripped_sql('f4', 'a', 'e', 'n.extra')} WHERE f.cut OR n.phrase = ''),
+keys AS (SELECT list, value, cut, key, sorted, min(cost) AS cost FROM (SELECT list, value, cut, array_to_string(w, '') AS key, false AS sorted, cost FROM f5
+  UNION ALL SELECT list, value, cut, array_to_string(list_sort(w), ''), true, cost FROM f5 WHERE len(w) > 3) WHERE key <> '' GROUP BY ALL),
+rw AS (SELECT list, ref_id, string_split(words, ' ') AS w FROM ref WHERE words <> ''),
+v0 AS (SELECT list, ref_id, array_to_string(w, '') AS key, false AS sorted, 0 AS cost FROM rw
+  UNION ALL SELECT list, ref_id, unnest([w[2] || w[1]]), false, 1 FROM rw WHERE len(w) = 2
+  UNION ALL SELECT list, ref_id, unnest([w[1] || w[3] || w[2], w[2] || w[1] || w[3], w[2] || w[3] || w[1], w[3] || w[1] || w[2], w[3] || w[2] || w[1]]), false, 1 FROM rw WHERE len(w) = 3
+  UNION ALL SELECT list, ref_id, array_to_string(list_sort(w), ''), true, 1 FROM rw WHERE len(w) > 3),
+v AS (SELECT *, 0 AS is_prefix FROM v0 UNION ALL SELECT list, ref_id, left(key, i), sorted, cost, 1 FROM (SELECT *, unnest(range({c.LEAST_PREFIX}, length(key))) AS i FROM v0 WHERE NOT sorted)),
+near AS (SELECT k.list, k.value, k.cut, v.ref_id, levenshtein(k.key, v.key) AS distance, v.is_prefix, k.cost + v.cost AS cost, length(v.key) AS size, list_sort(string_split(k.key, '')) = list_sort(string_split(v.key, '')) AS swapped
+  FROM keys k JOIN v ON k.list = v.list AND k.sorted = v.sorted AND (v.is_prefix = 0 OR k.cut) AND length(v.key) BETWEEN length(k.key) - 4 AND length(k.key) + 4),
+good AS (SELECT list, value, cut, ref_id, distance, is_prefix, cost FROM near WHERE distance <= {c.ALLOWED.format(n='size')} OR (swapped AND size >= {c.SWAPS_FROM} AND distance <= {c.SWAPS})),
+one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY list, value, cut, ref_id ORDER BY distance, is_prefix, cost) AS r FROM good) WHERE r = 1),
+first AS (SELECT *, row_number() OVER (PARTITION BY list, value, cut ORDER BY distance, is_prefix, cost, ref_id) AS place, count(*) OVER (PARTITION BY list, value, cut, distance, is_prefix, cost) AS alike FROM one),
+m AS (SELECT t.src, t.rec_id, t.list, t.value, coalesce(b.ref_id, 0)::BIGINT AS ref_id, b.distance::INTEGER AS distance FROM typed t
+  LEFT JOIN (SELECT * FROM first WHERE place = 1 AND (alike = 1 OR is_prefix = 0)) b ON t.list = b.list AND t.value = b.value AND t.cut = b.cut)
+"""
 SQL: dict[str, str] = {
+    "p6_mapped": _MAPPED + "SELECT * FROM m",
+    "p6_found": _MAPPED + "SELECT src, rec_id, ref_id FROM m",
+    "p6_unmatched": _MAPPED + "SELECT src, list, value, count(*) AS n_rows FROM m WHERE ref_id = 0 GROUP BY 1, 2, 3",
     "p8_char_mixture": _MIX + "SELECT * FROM m",
     "p8_char_report": _MIX + """SELECT t.source, t.target_share, t.max_repeats, coalesce(size_tokens, 0) AS size_tokens, NOT (max_repeats * coalesce(size_tokens, 0) < target_share * budget) AS reachable,
         coalesce(x.n, 0)::BIGINT AS mixed_tokens, coalesce(x.n, 0) / (SELECT sum(tokens) FROM m) AS actual_share
