@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.session import written
+
 FAN_IN = 64
 """Splits whose blocks one first-level reduction sums."""
 _NONE = np.iinfo(np.int64).min
@@ -64,19 +66,20 @@ def key_totals(
     ts: Column | None = None,
     blocks: int | None = None,
     flush_keys: int = 1 << 20,
+    keep_none: bool = False,
 ) -> DataFrame:
     """``key, n_rows, n_flagged, last_ts``: one row per key, summed without shuffling rows by key.
 
     ``key``: a whole number; rows where it is null belong to no key and are left out. ``flag``: counted where true; null
     is false. ``ts``: its latest value, null where the key has none. ``blocks``: pieces in which the accumulators are
     summed, by default four times the session's shuffle partitions. A split whose dictionary passes ``flush_keys``
-    keys emits its arrays and starts anew, which bounds its memory without changing the sums. An empty
-    input gives no rows.
+    keys emits its arrays and starts anew, which bounds its memory without changing the sums. With ``keep_none`` the
+    rows without a key come out under a null key. An empty input gives no rows.
     """
     spark = df.sparkSession
     blocks = blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = df.select(
-        key.cast("bigint").alias("k"),
+        (F.coalesce(key.cast("bigint"), F.lit(_NONE)) if keep_none else key.cast("bigint")).alias("k"),
         F.coalesce(flag if flag is not None else F.lit(False), F.lit(False)).cast("int").alias("f"),
         F.coalesce(F.unix_micros(ts.cast("timestamp")) if ts is not None else F.lit(_NONE), F.lit(_NONE)).alias("t"),
     ).where("k IS NOT NULL")
@@ -113,10 +116,10 @@ def key_totals(
     split_blocks = slim.mapInArrow(accumulate, _BLOCK)
     grouped = split_blocks.groupBy("b", "g").applyInArrow(reduce_group, _BLOCK)
     totals = grouped.groupBy("b").applyInArrow(reduce_all, "key bigint, n_rows bigint, n_flagged bigint, m bigint")
-    return totals.select("key", "n_rows", "n_flagged", F.timestamp_micros("m").cast("timestamp_ntz").alias("last_ts"))
+    return totals.select(F.nullif("key", F.lit(_NONE)).alias("key"), "n_rows", "n_flagged", F.timestamp_micros("m").cast("timestamp_ntz").alias("last_ts"))
 
 
 def hot_keys(df: DataFrame, key: Column, share_percent: int = 2, **kw: object) -> DataFrame:
     """``key, n_rows``: the keys that hold at least ``share_percent`` % of all rows of ``df``, rows without a key included in the base."""
-    total = df.agg(F.count(F.lit(1)).alias("n"))
-    return key_totals(df, key, **kw).where(F.col("n_rows") * 100 >= F.lit(share_percent) * total.scalar()).select("key", "n_rows")
+    totals = written(key_totals(df, key, keep_none=True, **kw).select("key", "n_rows"), "totals")  # one scan of ``df`` gives keys and base
+    return totals.where(F.col("key").isNotNull() & (F.col("n_rows") * 100 >= F.lit(share_percent) * totals.agg(F.sum("n_rows")).scalar()))

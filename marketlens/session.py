@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 BROADCAST_BYTES = 64 << 20
@@ -14,19 +15,23 @@ BROADCAST_BYTES = 64 << 20
 
 
 def build_session(app: str = "marketlens", cpus: int | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the operators are tested under; on a cluster the submitted configuration prevails."""
-    builder = (
-        SparkSession.builder.appName(app)
-        .master(f"local[{cpus or os.cpu_count()}]")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "12g")
-        .config("spark.sql.shuffle.partitions", str(cpus or os.cpu_count()))
-    )
-    for key, value in conf.items():
+    """A session with the settings the operators are tested under; what a cluster's submission sets prevails.
+
+    A local master, with as many shuffle partitions as cores, is set only where no master is given.
+    """
+    given = SparkConf()
+    settings = {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    if not given.contains("spark.master"):
+        cores = cpus or os.cpu_count()
+        settings |= {"spark.master": f"local[{cores}]", "spark.driver.memory": "12g", "spark.sql.shuffle.partitions": str(cores)}
+    builder = SparkSession.builder.appName(app)
+    for key, value in ({k: v for k, v in settings.items() if not given.contains(k)} | conf).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -47,16 +52,37 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts the lineage, and outlives any executor.
+def written(df: DataFrame, label: str, *by: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, in folders by the columns ``by``: cuts the lineage, and outlives any executor.
 
-    The table is removed when the driver ends.
+    The table is removed when the driver ends, or by ``release``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.parquet(path)
+    writer = df.write.partitionBy(*by) if by else df.write
+    writer.parquet(path)
+    _WRITTEN[path] = spark
+    return spark.read.schema(df.schema).parquet(path) if by else spark.read.parquet(path)
+
+
+_WRITTEN: dict[str, SparkSession] = {}
+
+
+def release() -> None:
+    """Removes all tables written so far: for a long-lived driver, once no frame that reads them is needed any more."""
+    while _WRITTEN:
+        path, spark = _WRITTEN.popitem()
+        _remove(spark, path)
+
+
+atexit.register(release)
+
+
+def broadcastable(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if Catalyst's estimate keeps below ``most`` bytes; else as it is, for a shuffled join."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if estimated_bytes(df) <= most else df
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -69,9 +95,14 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores, where its files are too small to make a split for each; large tables are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    """``df``, a scan with narrow steps, over all cores, where its files are too small to make a split for each; large tables are left as they are.
+
+    Decided by the size of its files: nothing is run.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(cores) if estimated_bytes(df) < cores * split else df
 
 
 def estimated_bytes(df: DataFrame) -> int:
