@@ -14,8 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.session import written
+
 CHUNK = 256
 """Items of a chunk; a basket with more items is split."""
+SALTS = 16
+"""Keys under which the items of a huge basket are looked up."""
 FLUSH_PAIRS = 1 << 21
 """Partial counts a task holds before it emits them."""
 NO_SKILL = ("", "na", "null", "none")  # fixed values: entries that name no skill
@@ -106,12 +110,15 @@ def item_rows(df: DataFrame, basket: str, items: Column) -> DataFrame:
 
 def pair_counts(items: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """``item_a, item_b, n_ab`` with item_a < item_b, over distinct ``basket, item`` rows; every pair, however rare."""
-    sizes = items.groupBy("basket").agg(F.count(F.lit(1)).alias("_n"))
-    huge = sizes.where(F.col("_n") > chunk).withColumn("_k", F.ceil(F.col("_n") / chunk).cast("int"))
+    tall = items.groupBy("basket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > chunk).withColumn("_k", F.ceil(F.col("_n") / chunk).cast("int"))
+    huge = written(tall.drop("_n"), "huge")
     ordinary = items.join(huge, "basket", "left_anti").groupBy("basket").agg(F.collect_list("item").alias("items"))
+    # rows of a huge basket stay where they are read if the huge baskets are few; else they meet their size under one of SALTS keys
+    salted = huge.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     chunks = (
-        items.join(huge, "basket")
-        .withColumn("_c", F.pmod(F.xxhash64("item"), F.col("_k")).cast("int"))
+        items.withColumn("_s", F.pmod(F.xxhash64("item"), F.lit(SALTS)).cast("int"))
+        .join(salted, ["basket", "_s"])
+        .withColumn("_c", F.pmod(F.xxhash64("item", F.lit(1)), F.col("_k")).cast("int"))
         .groupBy("basket", "_k", "_c")
         .agg(F.collect_list("item").alias("items"))
     )
@@ -136,7 +143,7 @@ def associations(df: DataFrame, basket: str, items: Column, chunk: int = CHUNK)
     ``ratio`` = n_ab x n_baskets / (n_a x n_b), what chance would give being 1; ``n_baskets`` counts baskets with at
     least one item. A basket's repeated items count once; a null or empty list adds nothing; no pairs, no rows.
     """
-    rows = item_rows(df, basket, items)
+    rows = written(item_rows(df, basket, items), "items")
     counts = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
     total = rows.agg(F.count_distinct("basket").alias("n")).scalar()
     a, b = (counts.select(F.col("item").alias(f"item_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")

@@ -17,6 +17,11 @@ def p2_associations(spark: SparkSession, d: str) -> DataFrame:
     return cooccurrence.associations(table(spark, d, "jobs"), "jobid", cooccurrence.skill_list(F.col("keyskills")))
 
 
+def p2_chunked_associations(spark: SparkSession, d: str) -> DataFrame:
+    """The same with chunks of eight skills: many jobs name more, and take the way of huge baskets."""
+    return cooccurrence.associations(table(spark, d, "jobs"), "jobid", cooccurrence.skill_list(F.col("keyskills")), 8)
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs in 1 % of the jobs or more, at three times chance or more."""
     frequent = p2_associations(spark, d).where("100 * n_ab >= n_baskets AND n_ab * n_baskets >= 3 * n_a * n_b")
@@ -134,7 +139,7 @@ def p9_composition(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        p2_associations, p2_found, p5_top_suggestions, p5_found, p6_mapped, p6_found, p6_unmatched, p7_leaks, p7_found, p7_verbatim, p7_clean_documents,
+        p2_associations, p2_chunked_associations, p2_found, p5_top_suggestions, p5_found, p6_mapped, p6_found, p6_unmatched, p7_leaks, p7_found, p7_verbatim, p7_clean_documents,
         p8_mixture, p8_report, p8_found, p8_char_mixture, p8_char_report, p9_subjects, p9_found, p9_agreement, p9_composition,
     )
 }
@@ -239,6 +244,7 @@ SQL: dict[str, str] = {
         FROM t LEFT JOIN s USING (source) LEFT JOIN (SELECT source, sum(tokens) AS n FROM m GROUP BY 1) x USING (source), z""",
     "p7_verbatim": _COPIES,
     "p2_associations": _SKILLS + "SELECT *, (n_ab * n_baskets) / (n_a * n_b) AS ratio FROM r",
+    "p2_chunked_associations": _SKILLS + "SELECT *, (n_ab * n_baskets) / (n_a * n_b) AS ratio FROM r",
     "p2_found": _SKILLS + "SELECT item_a AS skill_a, item_b AS skill_b FROM r WHERE 100 * n_ab >= n_baskets AND n_ab * n_baskets >= 3 * n_a * n_b",
     "p5_top_suggestions": _TOP + "SELECT * FROM r WHERE rank <= 10",
     "p5_found": _TOP + "SELECT src, group_id, item_id FROM r WHERE rank <= 10",

@@ -39,19 +39,37 @@ def top_items(rows: DataFrame, n: int = 10, quantiles: Sequence[float] = QUANTIL
     with its highest score; a group with fewer items keeps all. Empty input gives no rows. A band keeps at most n items
     a group: an item ranked lower inside its band has n better ones. Repeats of an item in lower bands can't hurt, for
     they come after as many kept items of higher bands as they could push out.
+
+    The scored rows are written once, in one folder a band, so that every band reads its own rows and no others.
     """
-    edges = rows.agg(F.percentile_approx("score", list(quantiles), 1000).alias("q")).first()["q"]
-    lows = sorted({int(x) for x in edges or []}, reverse=True)
+    counts = rows.groupBy("score").agg(F.count(F.lit(1)).alias("c")).collect()  # scores are whole numbers in a stated range
+    lows = _edges({r["score"]: r["c"] for r in counts}, quantiles)
+    band = F.lit(len(lows))
+    for i, low in reversed(list(enumerate(lows))):
+        band = F.when(F.col("score") >= low, i).otherwise(band)
+    bands = written(rows.withColumn("_band", band.cast("int")), "scored", "_band")
     kept: list[DataFrame] = []
-    high: int | None = None
-    for low in [*lows, None]:
-        band = rows if high is None else rows.where(F.col("score") < high)
-        band = band if low is None else band.where(F.col("score") >= low)
-        if kept:
+    filled: DataFrame | None = None
+    for b in range(len(lows) + 1):
+        band_rows = bands.where(F.col("_band") == b).drop("_band")
+        if filled is not None:
+            band_rows = band_rows.join(filled, ["src", "group_id"], "left_anti")
+        best = _best(band_rows, n).drop("rank")
+        kept.append(best if b == len(lows) else written(best, "band"))
+        if b < len(lows):
             seen = reduce(DataFrame.unionByName, kept).select("src", "group_id", "item_id").distinct()
-            filled = seen.groupBy("src", "group_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= n)
-            band = band.join(filled, ["src", "group_id"], "left_anti")
-        best = _best(band, n).drop("rank")
-        kept.append(best if low is None else written(best, "band"))
-        high = low
+            filled = seen.groupBy("src", "group_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= n).select("src", "group_id")
     return _best(reduce(DataFrame.unionByName, kept), n)
+
+
+def _edges(counts: dict[int, int], quantiles: Sequence[float]) -> list[int]:
+    """The lowest scores of the upper bands, descending: the scores at the quantiles."""
+    total, out = sum(counts.values()), []
+    for q in quantiles:
+        below = 0
+        for score in sorted(counts):
+            below += counts[score]
+            if below > q * total:
+                out.append(score)
+                break
+    return sorted(set(out), reverse=True)
