@@ -26,3 +26,8 @@ def whole_key(c: Column) -> Column:
     text = stripped(c.cast("string"))
     number = F.when(text.rlike(r"^[+-]?[0-9]+(\.0*)?$"), F.regexp_replace(text, r"\.0*$", "").try_cast("bigint"))
     return F.when(~number.isin(*NO_KEY), number)
+
+
+def portable_hash(c: Column, seed: int = 0) -> Column:
+    """60 bits of the MD5 of a key and a seed: a hash that other engines have too."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", c.cast("string"), F.lit(seed))), 1, 15), 16, 10).cast("bigint")

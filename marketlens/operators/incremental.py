@@ -81,3 +81,9 @@ def reconcile(base: DataFrame, result: DataFrame, key: str) -> DataFrame:
     return b.join(r, "k", "full").agg(
         F.count_if(F.col("b").isNotNull() & F.col("r").isNotNull()).alias("kept"), F.count_if(F.col("b").isNull()).alias("added"), F.count_if(F.col("r").isNull()).alias("removed")
     )
+
+
+def retained(df: DataFrame, ts: str, asof: Column, short: int, long: int, mark: str) -> DataFrame:
+    """Rows of the last ``long`` days before ``asof``, those of the last ``short`` marked; rows without a date, or from the future, are not kept."""
+    age = F.datediff(asof, F.to_date(ts))
+    return df.where((age >= 0) & (age < long)).withColumn(mark, age < short)

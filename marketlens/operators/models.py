@@ -9,6 +9,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.functions.keys import portable_hash
+
 
 def text_features(words: str = "words", size: int = 4096) -> list:
     """Word and word-pair counts, weighed by inverse document frequency, as ``features``."""
@@ -22,7 +24,7 @@ def text_features(words: str = "words", size: int = 4096) -> list:
 
 def fold(df: DataFrame, key: str, k: int = 10, seed: int = 0) -> DataFrame:
     """``df`` with ``fold``: a partition of its rows into k parts that depends on the key alone."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(k)).cast("int"))
+    return df.withColumn("fold", F.pmod(portable_hash(F.col(key), seed), F.lit(k)).cast("int"))
 
 
 def confusion(train: DataFrame, test: DataFrame, label: str, forest: bool = False, size: int = 4096) -> DataFrame:
@@ -45,3 +47,34 @@ def best_two(train: DataFrame, rows: DataFrame, key: str, label: str) -> DataFra
     ranked = p.withColumn("_r", F.slice(F.sort_array(F.transform("_p", lambda x, i: F.struct(x.alias("p"), (-i).alias("i"))), asc=False), 1, 2))
     at = lambda k: F.get(names, -F.col("_r")[k]["i"])
     return ranked.select(key, at(0).alias("first"), at(1).alias("second"), F.col("_r")[0]["p"].alias("p_first"), F.col("_r")[1]["p"].alias("p_second"))
+
+
+def cross_confusion(rows: DataFrame, key: str, label: str, k: int) -> DataFrame:
+    """``label, predicted, n`` over all ``k`` folds: each is judged by a model fitted on the others."""
+    folds = fold(rows, key, k)
+    parts = [confusion(folds.where(F.col("fold") != i), folds.where(F.col("fold") == i), label) for i in range(k)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.groupBy("label", "predicted").agg(F.sum("n").alias("n"))
+
+
+def nested_labels(train: DataFrame, rows: DataFrame, key: str, area: str, label: str, least: int = 20) -> DataFrame:
+    """``key, area, p_area, first, second``: the likeliest area by a forest, and within it the two likeliest labels by the forest of that area.
+
+    ``train``: ``words``, area and label. An area with under ``least`` rows or a single label has no forest of its own: its
+    commonest label is the first and there is no second. Areas are as many as a list of them holds.
+    """
+    areas = best_two(train, rows, key, area).select(key, F.col("first").alias(area), F.col("p_first").alias("p_area"))
+    counts = train.groupBy(area, label).agg(F.count(F.lit(1)).alias("n")).groupBy(area).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.max_by(label, F.struct("n", label)).alias("top"))
+    found = counts.collect()  # one row an area
+    placed = rows.join(areas, key)
+    small = [(r[area], r["top"]) for r in found if r["n"] < least or r["k"] < 2]
+    spark = train.sparkSession
+    out = areas.join(spark.createDataFrame(small, f"{area} string, first string"), area).select(key, area, "p_area", "first", F.lit(None).cast("string").alias("second"))
+    for r in found:
+        if r["n"] >= least and r["k"] >= 2:
+            here = placed.where(F.col(area) == r[area])
+            two = best_two(train.where(F.col(area) == r[area]), here.select(key, "words"), key, label).select(key, "first", "second")
+            out = out.unionByName(two.join(here.select(key, area, "p_area"), key).select(key, area, "p_area", "first", "second"))
+    return out

@@ -124,3 +124,19 @@ def round_robin(df: DataFrame, order: Sequence[str], n: int, buckets: int = 64)
 def dense_index(df: DataFrame, key: str) -> DataFrame:
     """``key, index``: the distinct keys numbered from 1 in their order."""
     return round_robin(df.select(key).where(F.col(key).isNotNull()).distinct(), [key], 1).select(key, (F.col("index") + 1).alias("index"))
+
+
+def dense_text_index(df: DataFrame, key: str) -> DataFrame:
+    """``key, index``: the distinct texts numbered from 1 in their order, by ranges of their first seven bytes."""
+    first = F.coalesce(F.conv(F.rpad(F.hex(F.substring(key, 1, 7)), 14, "0"), 16, 10).cast("bigint"), F.lit(0))  # keeps the order of the text
+    keys = df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_h", first)
+    return round_robin(keys, ["_h", key], 1).select(key, (F.col("index") + 1).alias("index"))
+
+
+def interleaved(parts: Sequence[DataFrame], key: str) -> DataFrame:
+    """Rows of several sorted inputs in the order of a key; of equal keys the first input's come first."""
+    out = None
+    for i, part in enumerate(parts):
+        part = part.withColumn("_i", F.lit(i))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out.orderBy(key, "_i").drop("_i")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.dates import segment, younger_than
-from marketlens.functions.keys import entity_id
+from marketlens.functions.keys import entity_id, portable_hash
 from marketlens.operators import incremental as inc
 from marketlens.operators import relational as rel
 from marketlens.plans.registry import Registry
@@ -48,18 +48,18 @@ def unique_key(t):  # noqa: ANN001, ANN202
     return t("orders").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("n_keys"))
 
 
-@R.query("S9 S10 S17", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+@R.query("S17", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def csv_round_trip(t):  # noqa: ANN001, ANN202
     return files.csv_round_trip(t("customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
 
 
-@R.query("S7 S15 S16 S18", "SELECT p_partkey, p_brand, p_size FROM part")
+@R.query("S18", "SELECT p_partkey, p_brand, p_size FROM part")
 def bulk_parts(t):  # noqa: ANN001, ANN202
     return files.written_in_parts(t("part").select("p_partkey", "p_brand", "p_size"), 4)
 
 
 @R.query(
-    "S11 W11",
+    "W11",
     """SELECT feed_day, date_diff('day', lag(feed_day) OVER (ORDER BY feed_day), feed_day)::INTEGER AS gap
     FROM (SELECT DISTINCT feed_day FROM activityinc WHERE feed_day IS NOT NULL)""",
 )
@@ -74,7 +74,7 @@ def latest_file(t):  # noqa: ANN001, ANN202
     return t("candidatestatic_raw").agg(F.max_by("file_name", day).alias("file_name"), F.max(day).alias("day"))
 
 
-@R.query("S13 U1", "SELECT doc_id, 'a' AS part FROM documents WHERE contains(text, 'guest') UNION ALL SELECT doc_id, 'b' FROM documents WHERE contains(text, 'patient')")
+@R.query("U1", "SELECT doc_id, 'a' AS part FROM documents WHERE contains(text, 'guest') UNION ALL SELECT doc_id, 'b' FROM documents WHERE contains(text, 'patient')")
 def assembled_lines(t):  # noqa: ANN001, ANN202
     docs = t("documents")
     return docs.where(F.contains("text", F.lit("guest"))).select("doc_id", F.lit("a").alias("part")).unionByName(docs.where(F.contains("text", F.lit("patient"))).select("doc_id", F.lit("b").alias("part")))
@@ -125,7 +125,7 @@ def valid_ids(t):  # noqa: ANN001, ANN202
     return t("candidatematchinc").dropna(subset=["userid"]).where(F.trim("userid").rlike("^[0-9]+$") | (F.length(F.trim("userid")) == 24)).select("userid")
 
 
-@R.query("F12 F9", "SELECT a.jobid AS jobid, count(*) AS n_fit FROM jobs a JOIN candidatematchinc m ON a.jobid = m.jobid WHERE a.maxexperience - a.minexperience <= 2 AND a.publisheddate IS NOT NULL GROUP BY 1")
+@R.query("F14", "SELECT a.jobid AS jobid, count(*) AS n_fit FROM jobs a JOIN candidatematchinc m ON a.jobid = m.jobid WHERE a.maxexperience - a.minexperience <= 2 AND a.publisheddate IS NOT NULL GROUP BY 1")
 def gated_matches(t):  # noqa: ANN001, ANN202
     # matches are counted before the join, so that a job holding a tenth of them is one row
     per_job = t("candidatematchinc").groupBy("jobid").agg(F.count(F.lit(1)).alias("n"))
@@ -143,7 +143,7 @@ def recency_segments(t):  # noqa: ANN001, ANN202
 # --- joins
 
 
-@R.query("J1 J2 J3 J6", """SELECT jobid, jobtitle, sub_field_enu, city_desc FROM jobs j
+@R.query("J1 J3 J6", """SELECT jobid, jobtitle, sub_field_enu, city_desc FROM jobs j
     LEFT JOIN (SELECT jobid_id, min(attvalue) FILTER (atttype = 12) AS sub, min(attvalue) FILTER (atttype = 13) AS city FROM recruiter_jobattribute WHERE atttype IN (3, 12, 13) GROUP BY 1) a ON a.jobid_id = j.jobid
     LEFT JOIN lookup_subfunctionalarea s ON s.sub_field_id = a.sub LEFT JOIN lookup_city c ON c.city_id = a.city""")
 def star_left_join(t):  # noqa: ANN001, ANN202
@@ -212,16 +212,14 @@ def vendor_ranges(t):  # noqa: ANN001, ANN202
     return rel.range_label(rows, "startvendorid", ranges).select("userid", "startvendorid", "label")
 
 
-_MASTER = "SELECT c_custkey AS k, c_mktsegment AS seg, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS bal FROM customer WHERE c_custkey % 3 <> 0"
-_CHANGE = "SELECT c_custkey AS k, CASE WHEN c_nationkey > 5 THEN c_name END AS seg, c_acctbal * 2 AS bal FROM customer WHERE c_custkey % 2 = 0"
+_MASTER = "SELECT s_suppkey AS k, s_name AS seg, CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS bal FROM supplier"
+_CHANGE = "SELECT o_custkey AS k, CASE WHEN count(*) > 5 THEN max(o_orderpriority) END AS seg, max(o_totalprice) AS bal FROM orders GROUP BY o_custkey"
 
 
 def _master(t) -> tuple[DataFrame, DataFrame]:  # noqa: ANN001
-    c = t("customer")
-    return (
-        c.where("c_custkey % 3 <> 0").selectExpr("c_custkey AS k", "c_mktsegment AS seg", "CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS bal"),
-        c.where("c_custkey % 2 = 0").selectExpr("c_custkey AS k", "CASE WHEN c_nationkey > 5 THEN c_name END AS seg", "c_acctbal * 2 AS bal"),
-    )
+    """Two whole tables that share some of their keys."""
+    changes = t("orders").groupBy(F.col("o_custkey").alias("k")).agg(F.when(F.count(F.lit(1)) > 5, F.max("o_orderpriority")).alias("seg"), F.max("o_totalprice").alias("bal"))
+    return t("supplier").selectExpr("s_suppkey AS k", "s_name AS seg", "CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS bal"), changes
 
 
 @R.query("J14 I6", f"SELECT coalesce(c.k, m.k) AS k, CASE WHEN c.k IS NOT NULL THEN c.seg ELSE m.seg END AS seg, CASE WHEN c.k IS NOT NULL THEN c.bal ELSE m.bal END AS bal FROM ({_MASTER}) m FULL JOIN ({_CHANGE}) c ON m.k = c.k")
@@ -292,7 +290,7 @@ def dimension_chain(t):  # noqa: ANN001, ANN202
 # --- aggregations
 
 
-@R.query("A2 I2", f"SELECT d::DATE AS day, count(c.userid) AS n FROM generate_series(DATE '2015-04-01', DATE '{ASOF}', INTERVAL 1 DAY) g(d) LEFT JOIN candidatestaticinc c ON c.lastlogin::DATE = d::DATE AND c.userid IS NOT NULL GROUP BY 1")
+@R.query("A2", f"SELECT d::DATE AS day, count(c.userid) AS n FROM generate_series(DATE '2015-04-01', DATE '{ASOF}', INTERVAL 1 DAY) g(d) LEFT JOIN candidatestaticinc c ON c.lastlogin::DATE = d::DATE AND c.userid IS NOT NULL GROUP BY 1")
 def daily_exit_histogram(t):  # noqa: ANN001, ANN202
     return rel.daily_counts(t("candidatestaticinc").where("userid IS NOT NULL"), "lastlogin", "2015-04-01", ASOF)
 
@@ -370,22 +368,20 @@ def tiered_list(t):  # noqa: ANN001, ANN202
     return rel.tiered_fill(rows, "k", "supp", "tier", [F.desc("spend"), F.asc("part"), F.asc("supp")], 60, 3, 15).select("k", "part", "supp", "tier", "rank")
 
 
-@R.query("W4 W5 M7", "SELECT u1, u2, sim, rank FROM (SELECT u1, u2, sim, row_number() OVER (PARTITION BY u1 ORDER BY sim DESC, u2) AS rank FROM " + _EDGES + " WHERE sim BETWEEN 0 AND 1000) WHERE rank <= 501")
+@R.query("W5 M7", "SELECT u1, u2, sim, rank FROM (SELECT u1, u2, sim, row_number() OVER (PARTITION BY u1 ORDER BY sim DESC, u2) AS rank FROM " + _EDGES + " WHERE sim BETWEEN 0 AND 1000) WHERE rank <= 501")
 def bounded_groups(t):  # noqa: ANN001, ANN202
     return rel.top_k(_edges(t)[0].where("sim BETWEEN 0 AND 1000"), ["u1"], [F.desc("sim"), F.asc("u2")], 501)
 
 
-@R.query("W6 W13 K1", "SELECT _id, i.u AS item, (CASE WHEN i.p <= 10 THEN 1 WHEN i.p <= 20 THEN 2 ELSE 3 END) AS slice FROM (SELECT _id, unnest(list_transform(list_slice(sj, 1, 30), lambda x, p: {'u': x.job, 'p': p})) AS i FROM jobsuggestions)")
+@R.query("W6 K1", "SELECT _id, i.u AS item, (CASE WHEN i.p <= 10 THEN 1 WHEN i.p <= 20 THEN 2 ELSE 3 END) AS slice FROM (SELECT _id, unnest(list_transform(list_slice(sj, 1, 30), lambda x, p: {'u': x.job, 'p': p})) AS i FROM jobsuggestions)")
 def list_slices(t):  # noqa: ANN001, ANN202
     items = t("jobsuggestions").select("_id", F.posexplode(F.slice("sj", 1, 30)).alias("p", "s"))
     return items.select("_id", F.col("s.job").alias("item"), (F.floor(F.col("p") / 10) + 1).cast("int").alias("slice"))
 
 
-@R.query("W7 W8", "SELECT userid, row_number() OVER (ORDER BY userid) AS index FROM (SELECT DISTINCT userid FROM candidatematchinc WHERE userid IS NOT NULL)")
+@R.query("W7", "SELECT userid, row_number() OVER (ORDER BY userid) AS index FROM (SELECT DISTINCT userid FROM candidatematchinc WHERE userid IS NOT NULL)")
 def dense_user_index(t):  # noqa: ANN001, ANN202
-    users = t("candidatematchinc").select("userid").dropna().distinct()
-    first = F.coalesce(F.conv(F.rpad(F.hex(F.substring("userid", 1, 7)), 14, "0"), 16, 10).cast("bigint"), F.lit(0))  # keeps the order of the text
-    return rel.round_robin(users.withColumn("_h", first), ["_h", "userid"], 1).select("userid", (F.col("index") + 1).alias("index"))
+    return rel.dense_text_index(t("candidatematchinc"), "userid")
 
 
 @R.query("W9 W10", "SELECT o_orderkey, part, CASE WHEN (pid // 8) % 2 = 1 AND pid BETWEEN 8 AND 79 THEN pid - 8 ELSE pid END AS pid FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) % 6 AS part, (row_number() OVER (ORDER BY o_orderkey) - 1) % 80 AS pid FROM orders)")
@@ -422,24 +418,27 @@ def sorted_unique(t):  # noqa: ANN001, ANN202
     return t("lineitem").select("l_returnflag", "l_linestatus", "l_linenumber").distinct().orderBy("l_returnflag", "l_linestatus", "l_linenumber")
 
 
-@R.query("L4", None)
+_HASH = "('0x' || substr(md5({} || ':{}'), 1, 15))::BIGINT"
+
+
+@R.query("L4", f"SELECT c_custkey, row_number() OVER (ORDER BY {_HASH.format('c_custkey', 7)}, c_custkey) <= 750 AS sampled FROM customer")
 def sample_and_rest(t):  # noqa: ANN001, ANN202
     """A reproducible sample of 750 without replacement, and its complement."""
-    hashed = t("customer").select("c_custkey", F.xxhash64("c_custkey", F.lit(7)).alias("_h"))
+    hashed = t("customer").select("c_custkey", portable_hash(F.col("c_custkey"), 7).alias("_h"))
     return rel.round_robin(hashed, ["_h", "c_custkey"], 1).select("c_custkey", (F.col("index") < 750).alias("sampled"))
 
 
-@R.query("L5", None)
+@R.query("L5", f"SELECT c_custkey, ({_HASH.format('c_custkey', 0)} % 10)::INTEGER AS fold FROM customer")
 def fold_split(t):  # noqa: ANN001, ANN202
     from marketlens.operators.models import fold
 
-    return fold(t("customer").select("c_custkey"), "c_custkey").groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+    return fold(t("customer").select("c_custkey"), "c_custkey")
 
 
 # --- sets, increments
 
 
-@R.query("U1 U2", "SELECT c_custkey AS k, 'c' AS src, c_name AS name, NULL::DOUBLE AS total FROM customer UNION ALL SELECT o_custkey, 'o', NULL, o_totalprice FROM orders")
+@R.query("U1", "SELECT c_custkey AS k, 'c' AS src, c_name AS name, NULL::DOUBLE AS total FROM customer UNION ALL SELECT o_custkey, 'o', NULL, o_totalprice FROM orders")
 def union_by_name(t):  # noqa: ANN001, ANN202
     c = t("customer").select(F.col("c_custkey").alias("k"), F.lit("c").alias("src"), F.col("c_name").alias("name"))
     return c.unionByName(t("orders").select(F.col("o_custkey").alias("k"), F.lit("o").alias("src"), F.col("o_totalprice").alias("total")), allowMissingColumns=True)

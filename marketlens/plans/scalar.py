@@ -104,20 +104,20 @@ def spelling_corrected(t):  # noqa: ANN001, ANN202
     return met.where(F.levenshtein("typed", "city") <= 1).groupBy("typed", "n").agg(F.min("city").alias("city"))
 
 
-@R.query("T15 T16 M26", "WITH s AS (SELECT jobid, string_split(lower(trim(regexp_replace(regexp_replace(jobtitle, '[^A-Za-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))), ' ') AS w FROM jobs), g AS (SELECT jobid, list_filter(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]), lambda x: x IS NOT NULL) AS pairs FROM s) SELECT jobid, list_sort(pairs) AS pairs FROM g")
+@R.query("T15", "WITH s AS (SELECT jobid, string_split(lower(trim(regexp_replace(regexp_replace(jobtitle, '[^A-Za-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))), ' ') AS w FROM jobs), g AS (SELECT jobid, list_filter(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]), lambda x: x IS NOT NULL) AS pairs FROM s) SELECT jobid, list_sort(pairs) AS pairs FROM g")
 def title_pairs(t):  # noqa: ANN001, ANN202
     pairs = text.ngrams(text.tokens(F.col("jobtitle")), 2)
     return t("jobs").select("jobid", F.when(F.col("jobtitle").isNotNull(), F.array_sort(pairs)).alias("pairs"))
 
 
-@R.query("T16 T24", None)
+@R.query("T16", None)
 def longest_skills(t):  # noqa: ANN001, ANN202
     """A job's skills without those that another of its skills contains."""
     skills = F.array_distinct(F.transform(F.split(F.lower("keyskills"), "[,;|]"), lambda x: F.trim(x)))
     return t("jobs").select("jobid", text.longest_only(F.filter(skills, lambda x: x != "")).alias("skills"))
 
 
-@R.query("T17 D9", "SELECT doc_id, list_transform(regexp_extract_all(text, '[0-9]+(?:\\.[0-9]+)?'), lambda x: TRY_CAST(x AS DOUBLE)) AS nums FROM documents")
+@R.query("T17", "SELECT doc_id, list_transform(regexp_extract_all(text, '[0-9]+(?:\\.[0-9]+)?'), lambda x: TRY_CAST(x AS DOUBLE)) AS nums FROM documents")
 def numbers_in_text(t):  # noqa: ANN001, ANN202
     return t("documents").select("doc_id", text.numbers(F.col("text")).alias("nums"))
 
@@ -145,7 +145,7 @@ def version_stripped(t):  # noqa: ANN001, ANN202
     return t("lookup_skill").select("skill_id", text.without_version(F.concat("skill_desc", F.lit(" 2.0"))).alias("bare"))
 
 
-@R.query("K9", "SELECT event_type, CASE WHEN regexp_matches(event_type, '^c') THEN 'clicks' WHEN regexp_matches(event_type, 'view|sign') THEN 'visits' ELSE 'other' END AS family, count(*) AS n FROM events GROUP BY 1")
+@R.query("F18", "SELECT event_type, CASE WHEN regexp_matches(event_type, '^c') THEN 'clicks' WHEN regexp_matches(event_type, 'view|sign') THEN 'visits' ELSE 'other' END AS family, count(*) AS n FROM events GROUP BY 1")
 def agent_families(t):  # noqa: ANN001, ANN202
     return t("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select("event_type", text.agent_family(F.col("event_type"), [("^c", "clicks"), ("view|sign", "visits")]).alias("family"), "n")
 
@@ -242,7 +242,7 @@ def array_basics(t):  # noqa: ANN001, ANN202
     return t("jobsuggestions").where("sj IS NOT NULL").select("_id", F.size("sj").alias("n"), F.array_sort(F.array_distinct(F.filter(jobs, lambda x: x.isNotNull()))).alias("jobs"), has.alias("has_self"))
 
 
-@R.query("K2 M4", "SELECT a.u1, max(b.overall_sim) AS best FROM (SELECT DISTINCT u1, u2 FROM similarprofiles) a JOIN (SELECT u1, max(overall_sim) AS overall_sim FROM similarprofiles WHERE overall_sim BETWEEN 0 AND 1000 GROUP BY 1) b ON a.u2 = b.u1 GROUP BY 1")
+@R.query("A6", "SELECT a.u1, max(b.overall_sim) AS best FROM (SELECT DISTINCT u1, u2 FROM similarprofiles) a JOIN (SELECT u1, max(overall_sim) AS overall_sim FROM similarprofiles WHERE overall_sim BETWEEN 0 AND 1000 GROUP BY 1) b ON a.u2 = b.u1 GROUP BY 1")
 def best_linked_score(t):  # noqa: ANN001, ANN202
     s = t("similarprofiles")
     best = s.where("overall_sim BETWEEN 0 AND 1000").groupBy(F.col("u1").alias("u2")).agg(F.max("overall_sim").alias("b"))
@@ -271,15 +271,3 @@ def xml_attribute(t):  # noqa: ANN001, ANN202
 def pipe_columns(t):  # noqa: ANN001, ANN202
     p = F.split("keyskills", r"\|")
     return t("jobs").select("jobid", F.get(p, 0).alias("first"), F.coalesce(F.get(p, 1), F.lit("none")).alias("second"))
-
-
-@R.query("K3", """WITH c AS (SELECT DISTINCT jobid_id AS j, attvalue AS c FROM recruiter_jobattribute WHERE atttype = 13 AND attvalue IS NOT NULL AND jobid_id IS NOT NULL),
-    p AS (SELECT DISTINCT fcu AS u, v AS c FROM candidatepreferences WHERE t = 8 AND v IS NOT NULL AND fcu IS NOT NULL), s AS (SELECT p.c AS pc, c.c AS cc, CASE WHEN p.c = c.c THEN 1.0 WHEN p.c // 10 = c.c // 10 THEN 0.5 END AS s FROM (SELECT DISTINCT c FROM p) p, (SELECT DISTINCT c FROM c) c)
-    SELECT u, count(DISTINCT s.cc) AS n_near, max(s)::DOUBLE AS best FROM p JOIN s ON s.pc = p.c WHERE s IS NOT NULL GROUP BY 1""")
-def city_scores(t):  # noqa: ANN001, ANN202
-    """Best score of a candidate's cities against the cities jobs are in: 1 for the same, 0.5 in the same block of ten codes."""
-    offered = t("recruiter_jobattribute").where("atttype = 13 AND attvalue IS NOT NULL AND jobid_id IS NOT NULL").select(F.col("attvalue").alias("cc")).distinct()
-    liked = t("candidatepreferences").where("t = 8 AND v IS NOT NULL AND fcu IS NOT NULL").select(F.col("fcu").alias("u"), F.col("v").alias("pc")).distinct()
-    block = lambda c: F.floor(F.col(c) / 10)
-    near = liked.select("pc").distinct().withColumn("b", block("pc")).join(offered.withColumn("b", block("cc")), "b").withColumn("s", F.when(F.col("pc") == F.col("cc"), 1.0).otherwise(0.5))
-    return liked.join(near, "pc").groupBy("u").agg(F.count_distinct("cc").alias("n_near"), F.max("s").alias("best"))

@@ -31,7 +31,7 @@ def skill_bag_of_words(t):  # noqa: ANN001, ANN202
 _COS = "(SELECT q.vec_id AS query_id, v.vec_id AS vec_id, round(list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 4) AS similarity FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0)"
 
 
-@R.query("M2 J20 F9 F10", f"SELECT query_id, vec_id, similarity, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS rank FROM {_COS} WHERE similarity >= 0.18) WHERE rank <= 10")
+@R.query("F10", f"SELECT query_id, vec_id, similarity, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS rank FROM {_COS} WHERE similarity >= 0.18) WHERE rank <= 10")
 def nearest_vectors(t):  # noqa: ANN001, ANN202
     """The ten nearest vectors, with cosine 0.18 or more, of every vector whose id is divisible by 20."""
     e = t("embeddings")
@@ -47,17 +47,17 @@ def _applied(t) -> DataFrame:  # noqa: ANN001
     return t("candidatematchinc").where("isapply = 1")
 
 
-@R.query("M10 J19 M28", _CO)
+@R.query("M10 J19", _CO)
 def co_application(t):  # noqa: ANN001, ANN202
     return sim.co_application(_applied(t), "userid", "jobid", 5)
 
 
-@R.query("M11 M12", f"WITH c AS ({_CO}), s AS (SELECT item_a AS item, item_b AS other, cosine FROM c UNION ALL SELECT item_b, item_a, cosine FROM c) SELECT u AS userid, other, sum(cosine)::BIGINT AS score FROM {_APPS} a JOIN s ON a.i = s.item WHERE NOT EXISTS (SELECT 1 FROM {_APPS} d WHERE d.u = a.u AND d.i = s.other) GROUP BY 1, 2")
+@R.query("M11", f"WITH c AS ({_CO}), s AS (SELECT item_a AS item, item_b AS other, cosine FROM c UNION ALL SELECT item_b, item_a, cosine FROM c) SELECT u AS userid, other, sum(cosine)::BIGINT AS score FROM {_APPS} a JOIN s ON a.i = s.item WHERE NOT EXISTS (SELECT 1 FROM {_APPS} d WHERE d.u = a.u AND d.i = s.other) GROUP BY 1, 2")
 def collaborative_scores(t):  # noqa: ANN001, ANN202
     return sim.collaborative_scores(_applied(t), "userid", "jobid", sim.both_ways(sim.co_application(_applied(t), "userid", "jobid", 5)))
 
 
-@R.query("M13 M14 M16", "SELECT u1, u2, s AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY u1 ORDER BY s DESC, u2) AS rank FROM (SELECT u1, u2, round(CASE WHEN max(skill_sim) >= 950 THEN max(overall_sim) * 0.33 ELSE max(overall_sim) END, 2)::DOUBLE AS s FROM similarprofiles WHERE u1 <> u2 AND overall_sim BETWEEN 0 AND 1000 GROUP BY 1, 2) WHERE s >= 50) WHERE rank <= 45")
+@R.query("M13", "SELECT u1, u2, s AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY u1 ORDER BY s DESC, u2) AS rank FROM (SELECT u1, u2, round(CASE WHEN max(skill_sim) >= 950 THEN max(overall_sim) * 0.33 ELSE max(overall_sim) END, 2)::DOUBLE AS s FROM similarprofiles WHERE u1 <> u2 AND overall_sim BETWEEN 0 AND 1000 GROUP BY 1, 2) WHERE s >= 50) WHERE rank <= 45")
 def damped_digest(t):  # noqa: ANN001, ANN202
     g = t("similarprofiles").where("u1 <> u2 AND overall_sim BETWEEN 0 AND 1000").groupBy("u1", "u2").agg(F.max("overall_sim").alias("o"), F.max("skill_sim").alias("k"))
     s = g.select("u1", "u2", F.round(F.when(F.col("k") >= 950, F.col("o") * 0.33).otherwise(F.col("o").cast("double")), 2).alias("score")).where("score >= 50")
@@ -84,14 +84,14 @@ def _profiles(t) -> DataFrame:  # noqa: ANN001
     )
 
 
-@R.query("M6 J13 M8 M9", None)
+@R.query("M6 J13", None)
 def profile_neighbours(t):  # noqa: ANN001, ANN202
     """The 501 nearest profiles of every profile whose id is divisible by 20."""
     p = _profiles(t)
     return sim.profile_neighbours(p, p.where("id % 20 = 0"), 501)
 
 
-@R.query("M18 M17", "SELECT _id, list_sort(list(DISTINCT item)) AS live FROM (SELECT _id, unnest(sj).job AS item FROM jobsuggestions) WHERE item IN (SELECT jobid FROM jobs WHERE jobid IS NOT NULL) GROUP BY 1")
+@R.query("M18", "SELECT _id, list_sort(list(DISTINCT item)) AS live FROM (SELECT _id, unnest(sj).job AS item FROM jobsuggestions) WHERE item IN (SELECT jobid FROM jobs WHERE jobid IS NOT NULL) GROUP BY 1")
 def live_archive(t):  # noqa: ANN001, ANN202
     """Archived suggestions of each job, over all its runs, pruned to live items; empty archives are dropped."""
     items = t("jobsuggestions").select("_id", F.explode("sj.job").alias("item")).distinct()
@@ -106,7 +106,7 @@ def token_overlap(t):  # noqa: ANN001, ANN202
     return rows.select("jobid", text.overlap_ratio(a, b, a).alias("over_title"), text.overlap_ratio(a, b, b).alias("over_skills"))
 
 
-@R.query("M3 M27", "SELECT m.jobid, m.industry, round(count(*) / sum(count(*)) OVER (PARTITION BY m.jobid), 4) AS p FROM (SELECT c.jobid, j.industry FROM candidatematchinc c JOIN (SELECT jobid, min(industry) AS industry FROM jobs GROUP BY 1) j ON c.jobid = j.jobid WHERE j.industry IS NOT NULL) m GROUP BY 1, 2")
+@R.query("A21", "SELECT m.jobid, m.industry, round(count(*) / sum(count(*)) OVER (PARTITION BY m.jobid), 4) AS p FROM (SELECT c.jobid, j.industry FROM candidatematchinc c JOIN (SELECT jobid, min(industry) AS industry FROM jobs GROUP BY 1) j ON c.jobid = j.jobid WHERE j.industry IS NOT NULL) m GROUP BY 1, 2")
 def area_shares(t):  # noqa: ANN001, ANN202
     """Transition shares from job to area; records are counted by job before the join."""
     per = t("candidatematchinc").groupBy("jobid").agg(F.count(F.lit(1)).alias("n"))
@@ -121,7 +121,7 @@ def _labelled(t) -> DataFrame:  # noqa: ANN001
     return t("documents").where("text IS NOT NULL").join(labels, "doc_id").select("doc_id", text.tokens(F.col("text")).alias("words"), "label")
 
 
-@R.query("M22 M23", None)
+@R.query("M22", None)
 def classifier_confusion(t):  # noqa: ANN001, ANN202
     """Confusion of a logistic regression on one fold held out of ten."""
     rows = models.fold(_labelled(t), "doc_id")

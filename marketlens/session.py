@@ -107,4 +107,4 @@ def spread(df: DataFrame) -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -34,6 +34,20 @@ def written_in_parts(df: DataFrame, n: int) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def written_by(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` written in one folder for each value of the columns, and read again; rows of a value are gathered first, so that each has few files."""
+    path = f"{shared_dir(df.sparkSession)}/by-{uuid.uuid4().hex}"
+    df.repartition(*columns).write.partitionBy(*columns).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def saved_and_loaded(model, spark: SparkSession):  # noqa: ANN001, ANN201
+    """A fitted model saved in the shared folder, and loaded from there."""
+    path = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def upsert_table(df: DataFrame, path: str, key: str, version: str) -> str:
     """The table at ``path`` with the rows of ``df`` in place of those with the same key, written as a new version; returns its path."""
     from marketlens.operators.incremental import replace_by_key
