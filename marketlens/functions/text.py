@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,10 +36,6 @@ def html_text(c: Column) -> Column:
     return squeeze(F.regexp_replace(c, "<[^>]*>", " "))
 
 
-def strip_entities(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, "<[^>]*>", " "), "&[#a-zA-Z0-9]+;", " ")
-
-
 def letters_digits(c: Column) -> Column:
     """Anything but Latin letters, digits and blanks as a blank, squeezed."""
     return squeeze(F.regexp_replace(c, "[^A-Za-z0-9 ]", " "))
@@ -111,3 +109,20 @@ def prose_list(items: Column) -> Column:
 def overlap_ratio(a: Column, b: Column, over: Column) -> Column:
     """Distinct words of both over the distinct words of one, to four places; null where that has none."""
     return F.round(F.try_divide(F.size(F.array_intersect(a, b)), F.size(F.array_distinct(over))), 4)
+
+
+def replaced(c: Column, phrases: Sequence[tuple[str, str]], parts: Sequence[tuple[str, str]] = ()) -> Column:
+    """Whole-word phrases replaced in their order, then strings wherever they stand: both lists are short and ordered."""
+    for old, new in phrases:
+        c = F.regexp_replace(c, rf"\b{old}\b", new)
+    for old, new in parts:
+        c = F.replace(c, F.lit(old), F.lit(new))
+    return c
+
+
+def first_word(c: Column, words: Sequence[str]) -> Column:
+    """The first of a list of words that stands in a text as a whole word; null if none does."""
+    out = F.lit(None).cast("string")
+    for w in reversed(words):
+        out = F.when(c.rlike(rf"\b{w}\b"), F.lit(w)).otherwise(out)
+    return out

@@ -389,3 +389,103 @@ def nested_labels(t):  # noqa: ANN001, ANN202
     coded = t("recruiter_jobattribute").where("atttype = 12 AND attvalue > 0").groupBy(F.col("jobid_id").alias("jobid")).agg(F.min("attvalue").alias("sub_field_id"))
     area = t("lookup_subfunctionalarea").select("sub_field_id", F.col("field_enu").alias("area"), F.col("sub_field_enu").alias("label"))
     return models.nested_labels(words.join(coded, "jobid").join(area, "sub_field_id").select("words", "area", "label"), words, "jobid", "area", "label")
+
+
+# --- feeds and tables
+
+
+@R.query("S9 S10", "SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS segment, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS balance FROM customer")
+def fixed_feed(t):  # noqa: ANN001, ANN202
+    """A feed without header, read under fixed names and types: empty fields, and those that short lines lack, are null."""
+    c = t("customer")
+    segment = F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise(F.coalesce("c_mktsegment", F.lit("")))
+    short = F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("|"), F.col("c_acctbal").cast("string"))).otherwise("")
+    path = files.fresh_path(c.sparkSession, "feed")
+    c.select(F.concat(F.col("c_custkey").cast("string"), F.lit("|"), segment, short).alias("value")).write.text(path)
+    return files.fixed_feed(c.sparkSession, path, "c_custkey bigint, segment string, balance double", "|")
+
+
+@R.query("S11", "WITH d AS (SELECT DISTINCT feed_day FROM activityinc WHERE feed_day IS NOT NULL), g AS (SELECT feed_day, feed_day - (row_number() OVER (ORDER BY feed_day))::INTEGER AS run FROM d) SELECT activityid, feed_day FROM activityinc WHERE feed_day IN (SELECT feed_day FROM g WHERE run = (SELECT max_by(run, feed_day) FROM g))")
+def last_unbroken_days(t):  # noqa: ANN001, ANN202
+    """The union of the daily files back to the first missing day."""
+    a = t("activityinc").select("activityid", "feed_day").where("feed_day IS NOT NULL")
+    spark, path = a.sparkSession, files.fresh_path(a.sparkSession, "days")
+    a.withColumn("day", F.col("feed_day").cast("string")).repartition("day").write.partitionBy("day").parquet(path)
+    days = [r["feed_day"].isoformat() for r in a.select("feed_day").distinct().collect()]  # one row a day
+    return spark.read.schema("activityid bigint, feed_day date").parquet(*files.dated_paths(days, path + "/day={}"))
+
+
+_LINE = "strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' ' || event_type || ' user=' || user_id"
+
+
+@R.query("S13", f"SELECT {_LINE} AS value FROM events WHERE contains({_LINE}, '15/Jan/2024')")
+def one_day_of_logs(t):  # noqa: ANN001, ANN202
+    """The lines of one day out of two compressed logs, each of which holds some of it."""
+    e = t("events")
+    spark, paths = e.sparkSession, [files.fresh_path(e.sparkSession, "log") for _ in range(2)]
+    lines = e.select("event_type", F.concat(F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), F.lit(" "), "event_type", F.lit(" user="), F.col("user_id").cast("string")).alias("value"))
+    views = F.col("event_type") == "view"
+    for path, which in zip(paths, (views, ~views), strict=True):
+        lines.where(which).select("value").write.text(path, compression="gzip")
+    return files.daily_lines(spark, paths, "15/Jan/2024")
+
+
+@R.query("S15", "SELECT s_suppkey AS k, s_acctbal AS v FROM supplier WHERE s_suppkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT o_custkey, max(o_totalprice) FROM orders GROUP BY 1")
+def upserted(t):  # noqa: ANN001, ANN202
+    """A table in which new rows replaced those of their keys."""
+    s = t("supplier").selectExpr("s_suppkey AS k", "s_acctbal AS v")
+    base, target = (files.fresh_path(s.sparkSession, "upsert") for _ in range(2))
+    files.append_table(s, base)
+    return files.upsert_table(t("orders").groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_totalprice").alias("v")), base, target, "k")
+
+
+@R.query("S16 I8", "SELECT k, v FROM (SELECT s_suppkey AS k, s_acctbal AS v FROM supplier UNION ALL SELECT c_custkey, c_acctbal FROM customer) WHERE NOT coalesce(v < 0, false)")
+def appended_and_removed(t):  # noqa: ANN001, ANN202
+    """Two batches appended to a table, and rows removed by a condition."""
+    s = t("supplier").selectExpr("s_suppkey AS k", "s_acctbal AS v")
+    base, target = (files.fresh_path(s.sparkSession, "rows") for _ in range(2))
+    files.append_table(s, base)
+    files.append_table(t("customer").selectExpr("c_custkey AS k", "c_acctbal AS v"), base)
+    return files.remove_rows(s.sparkSession, base, target, "v < 0")
+
+
+# --- profile neighbours
+
+_EDGES = (3, 8, 15, 25)
+_BAND = lambda c: "CASE " + " ".join(f"WHEN {c} <= {e} THEN {i}" for i, e in enumerate(_EDGES, 1)) + " ELSE 5 END"
+_RAW = [f"({b} + {s} / (1 + exp(-({g}) * ({f} * exp({r} * greatest(q.e, 0)) - {o}))))" for b, s, f, r, o, g in scoring.WEIGHTS]
+_W = [f"({w} / ({' + '.join(_RAW)}))" for w in _RAW]
+_LO, _HI = (lambda c: f"least(q.{c}, p.{c})::DOUBLE"), (lambda c: f"greatest(q.{c}, p.{c})::DOUBLE")
+_SIMS = [
+    f"CASE WHEN q.e < 0 OR p.e < 0 THEN 0.0 WHEN {_LO('e')} = 0 THEN exp(-2.0 * {_HI('e')}) ELSE exp(-0.4 * pow(({_HI('e')} - {_LO('e')}) / {_LO('e')}, 2) * {_LO('e')}) END",
+    f"CASE WHEN q.s < 0 OR p.s < 0 THEN 0.0 WHEN {_LO('s')} = 0 THEN exp(-{_HI('s')}) ELSE exp(-1.3 * (0.2 * pow(({_HI('s')} - {_LO('s')}) / {_LO('s')}, 4) + 0.2 * pow(({_HI('s')} - {_LO('s')}) / {_LO('s')}, 2)) * {_LO('s')}) END",
+    *[f"CASE WHEN q.{c} NOT IN ('', '-1') AND q.{c} = p.{c} THEN 1.0 ELSE 0.0 END" for c in ("ind", "subfa", "insti", "title")],
+]
+_KNOWN = ["q.e <> -1", "q.s <> -1", *[f"q.{c} NOT IN ('', '-1')" for c in ("ind", "subfa", "insti", "title")]]
+_NEAR = f"""WITH {_PEOPLE}, f AS (SELECT sub_field_id AS subfa, min(field_id) AS fa FROM lookup_subfunctionalarea GROUP BY 1),
+r AS (SELECT lookup_id AS id, fa, coalesce(exp, -1) AS e, coalesce(sal, -1) AS s, coalesce(ind, -1)::VARCHAR AS ind, subfa::VARCHAR AS subfa, '-1' AS insti, array_to_string(coalesce({_TOKENS.format('title')}, []), ' ') AS title, coalesce(skills, []) AS skills
+  FROM people JOIN prefs USING (u) JOIN f USING (subfa) WHERE lookup_id IS NOT NULL),
+b AS (SELECT *, {_BAND('e')} AS eb, {_BAND('s')} AS sb FROM r),
+c AS (SELECT q.id AS query_id, p.id AS id, len(list_intersect(q.skills, p.skills)) AS common, len(q.skills) AS own, len(list_distinct(list_concat(q.skills, p.skills))) AS every, {_W[6]} AS w7,
+  {' + '.join(f'{w} * ({x})' for w, x in zip(_W[:6], _SIMS, strict=True))} AS cheap, {' + '.join(f'CASE WHEN {k} THEN {w} ELSE 0.0 END' for w, k in zip(_W[:6], _KNOWN, strict=True))} AS most
+  FROM b q JOIN b p ON q.fa = p.fa AND abs(q.eb - p.eb) <= 1 AND abs(q.sb - p.sb) <= 1 AND q.id <> p.id WHERE q.id % 20 = 0),
+d AS (SELECT query_id, id, round(cheap + w7 * (0.7 * coalesce(common / nullif(own, 0), 0.0) + 0.3 * coalesce(common / nullif(every, 0), 0.0)), 4) AS similarity FROM c WHERE cheap >= 0.6 * most)
+SELECT query_id, id, similarity, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS rank FROM d) WHERE rank <= 501"""
+
+
+def _profiles(t) -> DataFrame:  # noqa: ANN001
+    """Candidates as profiles: area, industry and skills from their preferences, bands of experience and salary, the words of the title."""
+    area = t("lookup_subfunctionalarea").groupBy(F.col("sub_field_id").alias("subfa")).agg(F.min("field_id").alias("fa"))
+    rows = _people(t).where("lookup_id IS NOT NULL").join(_prefs(t), "u").join(area, "subfa")
+    known = lambda c: F.coalesce(c, F.lit(-1))
+    return rows.select(
+        F.col("lookup_id").alias("id"), "fa", known("exp").alias("experience"), known("sal").alias("salary"), scoring.banded(known("exp"), list(_EDGES)).alias("exp_band"), scoring.banded(known("sal"), list(_EDGES)).alias("sal_band"),
+        known("ind").alias("ind"), "subfa", F.lit(-1).alias("insti"), F.coalesce(F.array_join(text.tokens(F.col("title")), " "), F.lit("")).alias("title"), F.coalesce("skills", F.array().cast("array<int>")).alias("skills"),
+    )
+
+
+@R.query("M6 J13", _NEAR)
+def profile_neighbours(t):  # noqa: ANN001, ANN202
+    """The 501 nearest profiles of every profile whose id is divisible by 20."""
+    p = _profiles(t)
+    return sim.profile_neighbours(p, p.where("id % 20 = 0"), 501)

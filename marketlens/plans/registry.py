@@ -16,7 +16,7 @@ class Registry:
         self.operators: dict[str, list[str]] = {}
 
     def query(self, operators: str, sql: str | None = None):  # noqa: ANN201
-        """Registers a function of ``(t, spark)``, where ``t(name)`` gives a table of the data directory."""
+        """Registers a function of ``t``, where ``t(name)`` gives a table of the data directory."""
 
         def register(f):  # noqa: ANN001, ANN202
             from marketlens.session import table

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketlens.functions import dates, scoring, text
+from marketlens.operators import relational as rel
 from marketlens.plans.registry import Registry
 
 R = Registry()
@@ -17,7 +18,7 @@ def squeezed_text(t):  # noqa: ANN001, ANN202
     return t("documents").select("doc_id", text.squeeze(F.col("text")).alias("squeezed"), F.lower("source").alias("source"))
 
 
-@R.query("T2", None)
+@R.query("T2", "SELECT jobid, array_to_string(list_transform(string_split(lower(jobtitle), ' '), lambda x: upper(x[1]) || x[2:]), ' ') AS title FROM jobs")
 def title_case(t):  # noqa: ANN001, ANN202
     return t("jobs").select("jobid", F.initcap("jobtitle").alias("title"))
 
@@ -84,24 +85,27 @@ def dictionary_replacement(t):  # noqa: ANN001, ANN202
 
 @R.query("T13", None)
 def stemmed_words(t):  # noqa: ANN001, ANN202
-    from marketlens.operators.similarity import light_stem
+    from marketlens.functions.stemming import stemmed
 
     words = t("jobs").select(F.explode(text.tokens(F.col("jobtitle"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return words.groupBy(light_stem("word").alias("stem")).agg(F.sum("n").alias("n"))
+    return words.groupBy(stemmed(F.col("word")).alias("stem")).agg(F.sum("n").alias("n"))
 
 
-@R.query("T14", "WITH w AS (SELECT lower(trim(attvaluecustom, ' ')) AS typed, count(*) AS n FROM recruiter_jobattribute WHERE atttype = 13 AND regexp_full_match(attvaluecustom, '[ -~]*') GROUP BY 1) SELECT typed, n, min(lower(city_desc)) AS city FROM w JOIN lookup_city ON levenshtein(typed, lower(city_desc)) <= 1 GROUP BY 1, 2")
+@R.query("T14", "WITH w AS (SELECT lower(trim(attvaluecustom, ' ')) AS typed, count(*) AS n FROM recruiter_jobattribute WHERE atttype = 13 AND regexp_full_match(attvaluecustom, '[ -~]*') GROUP BY 1), c AS (SELECT city, coalesce(n, 0) AS freq FROM (SELECT DISTINCT lower(city_desc) AS city FROM lookup_city) LEFT JOIN w ON typed = city), m AS (SELECT typed, n, city, row_number() OVER (PARTITION BY typed ORDER BY freq DESC, city) AS r FROM w JOIN c ON levenshtein(typed, city) <= 1) SELECT typed, n, city FROM m WHERE r = 1")
 def spelling_corrected(t):  # noqa: ANN001, ANN202
-    """Distinct typed ASCII names against the fixed list of cities: one edit leaves the first or the last half of a word unchanged."""
+    """Distinct typed ASCII names against the fixed list of cities: one edit leaves the first or the last half of a word unchanged; of several names the most frequent counts."""
     typed = t("recruiter_jobattribute").where((F.col("atttype") == 13) & F.col("attvaluecustom").rlike("^[ -~]*$")).groupBy(F.lower(F.trim("attvaluecustom")).alias("typed")).agg(F.count(F.lit(1)).alias("n"))
-    cities = t("lookup_city").select(F.lower("city_desc").alias("city")).withColumn("h", F.floor(F.length("city") / 2).cast("int"))
+    cities = t("lookup_city").select(F.lower("city_desc").alias("city")).distinct().withColumn("h", F.floor(F.length("city") / 2).cast("int"))
     left = cities.select("city", "h", F.substring("city", F.lit(1), F.col("h")).alias("half"), F.lit("l").alias("side"))
     right = cities.select("city", (F.length("city") - F.col("h")).alias("h"), F.substring("city", F.col("h") + 1, F.length("city") - F.col("h")).alias("half"), F.lit("r").alias("side"))
     sizes = F.filter(F.array(*[(F.floor(F.length("typed") / 2) + i).cast("int") for i in (-1, 0, 1, 2)]), lambda x: (x > 0) & (x <= F.length("typed")))
     probes = typed.withColumn("h", F.explode(sizes))
     probes = probes.select("typed", "n", "h", F.explode(F.array(F.struct(F.lit("l").alias("side"), F.substring("typed", F.lit(1), F.col("h")).alias("half")), F.struct(F.lit("r").alias("side"), F.substring("typed", F.length("typed") - F.col("h") + 1, F.col("h")).alias("half")))).alias("p"))
     met = probes.select("typed", "n", "h", "p.side", "p.half").join(left.unionByName(right), ["h", "side", "half"])
-    return met.where(F.levenshtein("typed", "city") <= 1).groupBy("typed", "n").agg(F.min("city").alias("city"))
+    near = met.where(F.levenshtein("typed", "city") <= 1).select("typed", "n", "city").distinct()
+    freq = typed.select(F.col("typed").alias("city"), F.col("n").alias("freq"))
+    ranked = near.join(freq, "city", "left").withColumn("freq", F.coalesce("freq", F.lit(0)))
+    return rel.top_k(ranked, ["typed"], [F.desc("freq"), F.asc("city")], 1).select("typed", "n", "city")
 
 
 @R.query("T15", "WITH s AS (SELECT jobid, string_split(lower(trim(regexp_replace(regexp_replace(jobtitle, '[^A-Za-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))), ' ') AS w FROM jobs), g AS (SELECT jobid, list_filter(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]), lambda x: x IS NOT NULL) AS pairs FROM s) SELECT jobid, list_sort(pairs) AS pairs FROM g")
@@ -110,11 +114,11 @@ def title_pairs(t):  # noqa: ANN001, ANN202
     return t("jobs").select("jobid", F.when(F.col("jobtitle").isNotNull(), F.array_sort(pairs)).alias("pairs"))
 
 
-@R.query("T16", None)
+@R.query("T16", "WITH s AS (SELECT row_number() OVER () AS r, jobid, list_filter(list_transform(regexp_split_to_array(lower(keyskills), '[,;|]'), lambda x: trim(x)), lambda x: x <> '') AS x FROM jobs) SELECT jobid, list_sort(list_distinct(list_filter(x, lambda a: len(list_filter(x, lambda b: b <> a AND contains(b, a))) = 0))) AS skills FROM s")
 def longest_skills(t):  # noqa: ANN001, ANN202
     """A job's skills without those that another of its skills contains."""
     skills = F.array_distinct(F.transform(F.split(F.lower("keyskills"), "[,;|]"), lambda x: F.trim(x)))
-    return t("jobs").select("jobid", text.longest_only(F.filter(skills, lambda x: x != "")).alias("skills"))
+    return t("jobs").select("jobid", F.array_sort(text.longest_only(F.filter(skills, lambda x: x != ""))).alias("skills"))
 
 
 @R.query("T17", "SELECT doc_id, list_transform(regexp_extract_all(text, '[0-9]+(?:\\.[0-9]+)?'), lambda x: TRY_CAST(x AS DOUBLE)) AS nums FROM documents")
@@ -261,13 +265,107 @@ def flattened_maps(t):  # noqa: ANN001, ANN202
     return m.select("o_custkey", F.array_join(F.transform(F.map_entries("m"), lambda e: F.concat(e["key"], F.lit(";"), e["value"].cast("string"))), "|").alias("flat"))
 
 
-@R.query("K7", "SELECT o_orderkey, o_orderstatus AS status FROM orders")
+_XML = "<response><lst name=\"head\"><int name=\"status\">0</int></lst><result name=\"response\" numFound=\"{}\" start=\"0\"><doc numFound=\"-1\"/></result></response>"
+
+
+@R.query("K7", "SELECT o_custkey, regexp_extract('" + _XML.replace("{}", "' || count(*) || '") + "', '<result [^>]*numFound=\"([0-9]+)\"', 1)::BIGINT AS found FROM orders GROUP BY 1")
 def xml_attribute(t):  # noqa: ANN001, ANN202
-    xml = F.concat(F.lit("<r numFound='"), F.coalesce("o_orderstatus", F.lit("")), F.lit("'/>"))
-    return t("orders").select("o_orderkey", F.xpath_string(xml, F.lit("/r/@numFound")).alias("status"))
+    """The number of hits in a search answer: an attribute of one of its elements."""
+    before, after = _XML.split("{}")
+    xml = F.concat(F.lit(before), F.col("n").cast("string"), F.lit(after))
+    return t("orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).select("o_custkey", F.xpath_long(xml, F.lit("/response/result/@numFound")).alias("found"))
 
 
 @R.query("K8", "SELECT jobid, list_extract(p, 1) AS first, coalesce(list_extract(p, 2), 'none') AS second FROM (SELECT jobid, string_split(keyskills, '|') AS p FROM jobs)")
 def pipe_columns(t):  # noqa: ANN001, ANN202
     p = F.split("keyskills", r"\|")
     return t("jobs").select("jobid", F.get(p, 0).alias("first"), F.coalesce(F.get(p, 1), F.lit("none")).alias("second"))
+
+
+_UNITS = "trim(regexp_replace(regexp_replace(text, '\\b[0-9]+[a-z]+\\b', ' ', 'g'), '[\\t\\n\\x0B\\f\\r ]+', ' ', 'g'))"
+
+
+@R.query("T10", f"SELECT doc_id, {_UNITS} AS bare FROM documents")
+def units_removed(t):  # noqa: ANN001, ANN202
+    return t("documents").select("doc_id", text.without_units(F.col("text")).alias("bare"))
+
+
+_PHRASES = (("people team", "staff"), ("talent cell", "staff"), ("quiet room", "room"))
+
+
+@R.query("T12", "SELECT doc_id, replace(" + "regexp_replace(" * len(_PHRASES) + "lower(text)" + "".join(f", '\\b{a}\\b', '{b}', 'g')" for a, b in _PHRASES) + ", 'works', 'work') AS replaced FROM documents")
+def phrases_replaced(t):  # noqa: ANN001, ANN202
+    """Whole phrases first, in order, then a string wherever it stands."""
+    return t("documents").select("doc_id", text.replaced(F.lower("text"), _PHRASES, [("works", "work")]).alias("replaced"))
+
+
+_WATCHED = ("engineer", "nurse", "sales", "driver")
+
+
+@R.query("T19", "SELECT jobid, " + ", ".join(f"coalesce(regexp_matches(lower({c}), '\\b({'|'.join(_WATCHED)})\\b'), false) AS in_{c}" for c in ("jobtitle", "keyskills", "displayname"))
+    + ", CASE " + " ".join(f"WHEN regexp_matches(lower(concat_ws(chr(10), jobtitle, keyskills, displayname)), '\\b{w}\\b') THEN '{w}'" for w in _WATCHED) + " END AS first FROM jobs")
+def watched_words(t):  # noqa: ANN001, ANN202
+    """Which of three fields hold a watched word, and the first word of the list that any of them holds."""
+    fields = ("jobtitle", "keyskills", "displayname")
+    held = [F.coalesce(F.lower(c).rlike(rf"\b({'|'.join(_WATCHED)})\b"), F.lit(False)).alias(f"in_{c}") for c in fields]
+    return t("jobs").select("jobid", *held, text.first_word(F.lower(F.concat_ws("\n", *fields)), _WATCHED).alias("first"))
+
+
+@R.query("T20", "SELECT o_orderkey, url_decode(url_decode(replace(url_encode(url_encode(o_orderpriority || ' & ' || o_orderkey)), '%2B', '%2B'))) AS twice FROM orders")
+def decoded_twice(t):  # noqa: ANN001, ANN202
+    """Texts that were encoded twice on their way through two redirects."""
+    plain = F.concat("o_orderpriority", F.lit(" & "), F.col("o_orderkey").cast("string"))
+    return t("orders").select("o_orderkey", text.decoded_twice(F.url_encode(F.url_encode(plain))).alias("twice"))
+
+
+@R.query("T23", "SELECT jobid, CASE WHEN displayname IS NULL THEN 'New job: ' || coalesce(jobtitle, 'an opening') ELSE coalesce(jobtitle, 'an opening') || ' at ' || displayname || CASE WHEN maxexperience IS NULL THEN '' ELSE ' (up to ' || maxexperience || ' years)' END END AS subject FROM jobs")
+def subject_lines(t):  # noqa: ANN001, ANN202
+    """Subject lines from a template, with what is missing left out."""
+    title = F.coalesce("jobtitle", F.lit("an opening"))
+    years = F.coalesce(F.concat(F.lit(" (up to "), F.col("maxexperience").cast("string"), F.lit(" years)")), F.lit(""))
+    return t("jobs").select("jobid", F.coalesce(F.concat(title, F.lit(" at "), "displayname", years), F.concat(F.lit("New job: "), title)).alias("subject"))
+
+
+@R.query("D1", "SELECT userid, date_trunc('day', lastlogin) AS midnight, date_trunc('day', lastlogin) - INTERVAL 1 DAY + INTERVAL '18:30' HOUR_MINUTE AS evening_before FROM candidatestaticinc".replace("INTERVAL '18:30' HOUR_MINUTE", "INTERVAL 18 HOUR + INTERVAL 30 MINUTE"))
+def day_edges(t):  # noqa: ANN001, ANN202
+    """Midnight of a day, and half past six of the evening before."""
+    midnight = F.to_date("lastlogin").cast("timestamp_ntz")
+    return t("candidatestaticinc").select("userid", midnight.alias("midnight"), (midnight - F.expr("INTERVAL 1 DAY") + F.expr("INTERVAL '18:30' HOUR TO MINUTE")).alias("evening_before"))
+
+
+@R.query("N5", "SELECT u1, u2, list_position(x, list_reverse_sort(x)[2])::BIGINT AS second_at FROM (SELECT u1, u2, list_transform([exp_sim, sal_sim, ind_sim, jt_sim], lambda v, i: v * 10 - i) AS x FROM similarprofiles WHERE exp_sim IS NOT NULL AND sal_sim IS NOT NULL AND ind_sim IS NOT NULL AND jt_sim IS NOT NULL)")
+def second_place(t):  # noqa: ANN001, ANN202
+    """The index of the second largest of four values; of equal ones the first counts as larger."""
+    parts = F.array("exp_sim", "sal_sim", "ind_sim", "jt_sim")
+    ranked = F.sort_array(F.transform(parts, lambda v, i: F.struct(v.alias("v"), (-i).alias("i"))), asc=False)
+    return t("similarprofiles").dropna(subset=["exp_sim", "sal_sim", "ind_sim", "jt_sim"]).select("u1", "u2", (1 - F.element_at(ranked, 2)["i"]).cast("bigint").alias("second_at"))
+
+
+_AGENTS = (
+    "Mozilla/5.0 (Windows NT 6.1; WOW64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/45.0.2454.85 Safari/537.36",
+    "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_10_5) AppleWebKit/600.8.9 (KHTML, like Gecko) Version/8.0.8 Safari/600.8.9",
+    "Mozilla/5.0 (X11; Ubuntu; Linux x86_64; rv:40.0) Gecko/20100101 Firefox/40.0",
+    "Mozilla/5.0 (Linux; Android 5.0; SM-G900F) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/44.0.2403.133 Mobile Safari/537.36",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 8_4 like Mac OS X) AppleWebKit/600.1.4 (KHTML, like Gecko) Version/8.0 Mobile/12H143 Safari/600.1.4",
+    "Mozilla/4.0 (compatible; MSIE 8.0; Windows NT 5.1; Trident/4.0)",
+    "curl/7.43.0",
+)
+_SYSTEMS = (("iPhone|iPad", "iOS"), ("Android", "Android"), ("Windows", "Windows"), ("Mac OS X", "Mac"), ("Linux", "Linux"))
+_BROWSERS = (("MSIE|Trident", "Internet Explorer"), ("Firefox/", "Firefox"), ("Chrome/", "Chrome"), ("Safari/", "Safari"))
+_CASE = lambda table: "CASE " + " ".join(f"WHEN regexp_matches(agent, '{a}') THEN '{b}'" for a, b in table) + " ELSE 'other' END"
+
+
+@R.query("K9", f"WITH a AS (SELECT [{', '.join(chr(39) + a + chr(39) for a in _AGENTS)}][event_id % {len(_AGENTS)} + 1] AS agent FROM events) SELECT {_CASE(_SYSTEMS)} AS os, {_CASE(_BROWSERS)} AS browser, count(*) AS n FROM a GROUP BY 1, 2")
+def agent_systems(t):  # noqa: ANN001, ANN202
+    """Operating system and browser of user agents, each by the first pattern of its table that fits."""
+    agent = F.element_at(F.array(*map(F.lit, _AGENTS)), (F.col("event_id") % len(_AGENTS) + 1).cast("int"))
+    rows = t("events").groupBy(agent.alias("agent")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(text.agent_family(F.col("agent"), list(_SYSTEMS)).alias("os"), text.agent_family(F.col("agent"), list(_BROWSERS)).alias("browser")).agg(F.sum("n").alias("n"))
+
+
+@R.query("K4", "SELECT _id, list_transform(sj, lambda s: s.job) AS jobs, len(list_filter(sj, lambda s: s.cossim IS NOT NULL))::INTEGER AS n_scored FROM jobsuggestions WHERE sj IS NOT NULL")
+def json_nested(t):  # noqa: ANN001, ANN202
+    """A field of every element of an array in a JSON document."""
+    doc = F.to_json(F.struct(F.struct(F.col("sj").alias("items")).alias("body")))
+    items = F.from_json(doc, "body struct<items: array<struct<job: bigint, cossim: int>>>")["body"]["items"]
+    return t("jobsuggestions").where("sj IS NOT NULL").select("_id", F.transform(items, lambda s: s["job"]).alias("jobs"), F.size(F.filter(items, lambda s: s["cossim"].isNotNull())).alias("n_scored"))

@@ -70,27 +70,6 @@ def area_skill_importance(t):  # noqa: ANN001, ANN202
     return sim.skill_importance(rows, "industry", "skill")
 
 
-def _profiles(t) -> DataFrame:  # noqa: ANN001
-    """Candidates as profiles: bands of experience and salary, and the words of the title as skills."""
-    from marketlens.functions.scoring import banded
-
-    c = rel.latest_per_key(t("candidatestaticinc").where("lookup_id IS NOT NULL"), ["lookup_id"], ["lastmodified", "userid"])
-    whole = lambda x: F.coalesce(F.col(x).try_cast("int"), F.lit(-1))
-    return c.select(
-        F.col("lookup_id").cast("bigint").alias("id"), F.pmod(whole("candidatelocation"), F.lit(40)).alias("fa"), whole("experience").alias("experience"), whole("salary").alias("salary"),
-        banded(whole("experience"), [3, 8, 15, 25]).alias("exp_band"), banded(whole("salary"), [3, 8, 15, 25]).alias("sal_band"), whole("startvendorid").alias("ind"),
-        F.coalesce(F.try_element_at(text.tokens(F.coalesce("profiletitle", F.lit(""))), F.lit(-1)), F.lit("")).alias("subfa"), whole("gender").alias("insti"),
-        F.array_join(text.tokens(F.coalesce("profiletitle", F.lit(""))), " ").alias("title"), F.array_distinct(text.tokens(F.coalesce("profiletitle", F.lit("")))).alias("skills"),
-    )
-
-
-@R.query("M6 J13", None)
-def profile_neighbours(t):  # noqa: ANN001, ANN202
-    """The 501 nearest profiles of every profile whose id is divisible by 20."""
-    p = _profiles(t)
-    return sim.profile_neighbours(p, p.where("id % 20 = 0"), 501)
-
-
 @R.query("M18", "SELECT _id, list_sort(list(DISTINCT item)) AS live FROM (SELECT _id, unnest(sj).job AS item FROM jobsuggestions) WHERE item IN (SELECT jobid FROM jobs WHERE jobid IS NOT NULL) GROUP BY 1")
 def live_archive(t):  # noqa: ANN001, ANN202
     """Archived suggestions of each job, over all its runs, pruned to live items; empty archives are dropped."""

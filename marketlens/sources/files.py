@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.session import shared_dir
@@ -48,13 +48,47 @@ def saved_and_loaded(model, spark: SparkSession):  # noqa: ANN001, ANN201
     return type(model).load(path)
 
 
-def upsert_table(df: DataFrame, path: str, key: str, version: str) -> str:
-    """The table at ``path`` with the rows of ``df`` in place of those with the same key, written as a new version; returns its path."""
+def upsert_table(df: DataFrame, base: str, target: str, key: str) -> DataFrame:
+    """The table at ``base`` with the rows of ``df`` in place of those with the same key, written to ``target``: readers of ``base`` see no half of it."""
     from marketlens.operators.incremental import replace_by_key
 
-    target = f"{path}/{version}"
-    replace_by_key(df.sparkSession.read.parquet(path), df, [key]).write.parquet(target)
-    return target
+    spark = df.sparkSession
+    replace_by_key(spark.read.parquet(base), df, [key]).write.parquet(target)
+    return spark.read.parquet(target)
+
+
+def append_table(df: DataFrame, path: str) -> None:
+    """Adds rows to the table at ``path``, which may not exist yet."""
+    df.write.mode("append").parquet(path)
+
+
+def remove_rows(spark: SparkSession, base: str, target: str, where: Column | str) -> DataFrame:
+    """The table at ``base`` without the rows that meet a condition, written to ``target``; rows for which it is unknown stay."""
+    gone = F.expr(where) if isinstance(where, str) else where
+    spark.read.parquet(base).where(~F.coalesce(gone, F.lit(False))).write.parquet(target)
+    return spark.read.parquet(target)
+
+
+def fixed_feed(spark: SparkSession, path: str, schema: str, sep: str) -> DataFrame:
+    """A feed without header, under explicit names and types: two separators in a row, and fields that a short line lacks, are null."""
+    return spark.read.csv(path, schema=schema, sep=sep, header=False, mode="PERMISSIVE", enforceSchema=True)
+
+
+def dated_paths(days: Sequence[str], pattern: str) -> list[str]:
+    """Paths of the days of the last run without a gap; ``pattern`` has ``{}`` for the day (YYYY-MM-DD)."""
+    import datetime as dt
+
+    found = sorted({dt.date.fromisoformat(d) for d in days}, reverse=True)
+    run = found[:1]
+    for d in found[1:]:
+        if run[-1] - d != dt.timedelta(days=1):
+            break
+        run.append(d)
+    return [pattern.format(d.isoformat()) for d in run]
+
+
+def fresh_path(spark: SparkSession, label: str) -> str:
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def daily_lines(spark: SparkSession, paths: Sequence[str], day: str) -> DataFrame:
