@@ -34,7 +34,7 @@ _PEOPLE = f"""people AS (SELECT u, max(experience) FILTER (experience >= 0) AS e
 prefs AS (SELECT u, list_sort(list(DISTINCT v) FILTER (t = 8)) AS cities, list_sort(list(DISTINCT v) FILTER (t = 9)) AS inds, min(v) FILTER (t = 9) AS ind, min(v) FILTER (t = 10) AS subfa, list_sort(list(DISTINCT v) FILTER (t = 3)) AS skills
   FROM (SELECT {_id('fcu')} AS u, t, v FROM candidatepreferences WHERE v > 0) WHERE u IS NOT NULL GROUP BY 1),
 posts AS (SELECT jobid, max(industry) AS industry, max(minexperience) AS lo, max(maxexperience) AS hi, max(salarymin) AS slo, max(salarymax) AS shi, max(publisheddate) AS pub, max(jobstatus) AS status, max(companyid) AS company,
-  max(lower(jobtitle)) AS title FROM jobs WHERE jobid IS NOT NULL GROUP BY 1),
+  max(lower(concat_ws(' ', jobtitle, keyskills))) AS title FROM jobs WHERE jobid IS NOT NULL GROUP BY 1),
 places AS (SELECT jobid_id AS jobid, list_sort(list(DISTINCT attvalue)) AS cities FROM recruiter_jobattribute WHERE atttype = 13 AND attvalue > 0 AND jobid_id IS NOT NULL GROUP BY 1)"""
 
 
@@ -54,7 +54,7 @@ def _prefs(t) -> DataFrame:  # noqa: ANN001
 
 def _posts(t) -> DataFrame:  # noqa: ANN001
     names = {"industry": "industry", "minexperience": "lo", "maxexperience": "hi", "salarymin": "slo", "salarymax": "shi", "publisheddate": "pub", "jobstatus": "status", "companyid": "company"}
-    return t("jobs").where("jobid IS NOT NULL").groupBy("jobid").agg(*[F.max(c).alias(n) for c, n in names.items()], F.max(F.lower("jobtitle")).alias("title"))
+    return t("jobs").where("jobid IS NOT NULL").groupBy("jobid").agg(*[F.max(c).alias(n) for c, n in names.items()], F.max(F.lower(F.concat_ws(" ", "jobtitle", "keyskills"))).alias("title"))
 
 
 def _places(t) -> DataFrame:  # noqa: ANN001
@@ -127,7 +127,7 @@ cosine AS (SELECT u, jobid, len(list_intersect(x, y)) / sqrt((len(x) * len(y))::
 scored AS (SELECT u, jobid, company, round(cosine, 6) AS cosine, coalesce(city_score, 0.0) AS city_score, list_max(list_transform(list_intersect(map_keys(scores), [industry]), lambda k: scores[k])) AS area_score,
   CASE WHEN status IN (3, 9) THEN 1.0 ELSE 0.5 END::DOUBLE AS boost
   FROM cosine JOIN pairs USING (u, jobid) JOIN posts USING (jobid) JOIN people USING (u) JOIN prefs USING (u) JOIN areas USING (ind) LEFT JOIN city USING (u, jobid)
-  WHERE cosine >= 0.2 AND pub IS NOT NULL AND industry IS NOT NULL AND coalesce(applied, 0) <> 1
+  WHERE cosine >= 0.1 AND pub IS NOT NULL AND industry IS NOT NULL AND coalesce(applied, 0) <> 1
   AND NOT coalesce(lo > exp, false) AND NOT coalesce(exp > hi, false) AND NOT coalesce(slo > sal, false) AND NOT coalesce(sal > shi, false) AND list_contains(map_keys(scores), industry)),
 matched AS (SELECT u, jobid, company, cosine, city_score, area_score, boost, round(0.7 * cosine + 0.2 * city_score + 0.1 * boost + cosine * area_score, 6) AS score FROM scored)"""
 
@@ -142,7 +142,7 @@ def _scored(t) -> DataFrame:  # noqa: ANN001
     x, y = F.array_distinct(text.tokens(F.col("own"))), F.array_distinct(text.tokens(F.col("title")))
     rows = rows.withColumn("cosine", F.try_divide(F.size(F.array_intersect(x, y)), F.sqrt((F.size(x) * F.size(y)).cast("double"))))
     fits = (scoring.overlaps(F.col("lo"), F.col("hi"), F.col("exp"), F.col("exp")) == 1) & (scoring.overlaps(F.col("slo"), F.col("shi"), F.col("sal"), F.col("sal")) == 1)
-    rows = rows.where((F.col("cosine") >= 0.2) & fits).withColumn("area_score", rec.best_common(F.col("scores"), F.array("industry"))).where("area_score IS NOT NULL")
+    rows = rows.where((F.col("cosine") >= 0.1) & fits).withColumn("area_score", rec.best_common(F.col("scores"), F.array("industry"))).where("area_score IS NOT NULL")
     rows = rows.join(_city_scores(t), ["u", "jobid"], "left").withColumn("city_score", F.coalesce("city_score", F.lit(0.0))).withColumn("cosine", F.round("cosine", 6))
     rows = rows.withColumn("boost", F.when(F.col("status").isin(3, 9), 1.0).otherwise(0.5))
     score = F.round(rec.match_score(F.col("cosine"), F.col("city_score"), F.col("boost"), F.col("area_score")), 6)
@@ -151,7 +151,7 @@ def _scored(t) -> DataFrame:  # noqa: ANN001
 
 @R.query("M3 M4 K2 F9 F11", f"WITH {_SCORED} SELECT * FROM matched")
 def match_scores(t):  # noqa: ANN001, ANN202
-    """Matches not applied for, of 0.2 or more in cosine, with pay and experience that fit, scored by text, city, area and boost."""
+    """Matches not applied for, of 0.1 or more in cosine, with pay and experience that fit, scored by text, city, area and boost."""
     return _scored(t)
 
 

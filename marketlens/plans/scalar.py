@@ -180,9 +180,9 @@ def recency_score(t):  # noqa: ANN001, ANN202
     return t("candidatematchinc").select("candidatematchid", dates.recency_step(F.datediff(dates.day(ASOF), F.to_date("matchdate"))).alias("recency"))
 
 
-@R.query("D6", f"SELECT userid, lastlogin FROM candidatestaticinc WHERE lastlogin::DATE >= DATE '{ASOF}' - (52 * (dayofweek(DATE '{ASOF}') + 1))::INTEGER AND lastlogin::DATE < DATE '{ASOF}' - (52 * dayofweek(DATE '{ASOF}'))::INTEGER")
+@R.query("D6", f"SELECT userid, lastlogin FROM candidatestaticinc WHERE lastlogin::DATE >= DATE '2015-11-01' - (52 * (dayofweek(DATE '2015-11-01') + 1))::INTEGER AND lastlogin::DATE < DATE '2015-11-01' - (52 * dayofweek(DATE '2015-11-01'))::INTEGER")
 def cyclic_cohort(t):  # noqa: ANN001, ANN202
-    start, end = dates.cyclic_window(ASOF, 364, 7)
+    start, end = dates.cyclic_window("2015-11-01", 364, 7)
     return t("candidatestaticinc").where((F.to_date("lastlogin") >= start) & (F.to_date("lastlogin") < end)).select("userid", "lastlogin")
 
 
