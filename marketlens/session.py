@@ -95,14 +95,16 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df``, a scan with narrow steps, over all cores, where its files are too small to make a split for each; large tables are left as they are.
+    """``df``, a scan with narrow steps, over all cores, where its files are too small to make a split for each; other tables are left as they are.
 
-    Decided by the size of its files: nothing is run.
+    Decided by the size of the files, against the least size of a split: nothing is run.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return df.repartition(cores) if estimated_bytes(df) < cores * split else df
+    least = spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return df.repartition(cores) if size < cores * least else df
 
 
 def estimated_bytes(df: DataFrame) -> int:
