@@ -10,6 +10,7 @@ from marketlens.functions.keys import portable_hash
 from marketlens.functions.stemming import stem
 from marketlens.operators import recommend as rec
 from marketlens.operators import relational as rel
+from marketlens.operators import similarity as sim
 from marketlens.operators.entity_features import entity_features
 from marketlens.sources import files
 
@@ -57,6 +58,31 @@ def test_product_scores_equal_brute_force(spark):
     assert {(r.user, r.item): r.score for r in got.collect()} == {k: v for k, v in want.items() if v >= cut}
 
 
+@pytest.mark.parametrize("block", [2_000_000, 60])
+def test_linked_sums_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(sim, "PRODUCTS", 50)
+    rng = random.Random(3)
+    bound, level = {f"u{u}": rng.randrange(6) for u in range(40)}, {j: rng.randrange(6) for j in range(90)}
+    rows = [(f"u{u}", i, rng.randrange(4), bound[f"u{u}"]) for u in range(40) for i in range(30) if i == 0 or rng.random() < 0.1] + [("u3", 0, 2, bound["u3"]), (None, 1, 1, 1), ("u4", None, 1, 1)]
+    links = [(i, j, rng.randrange(3), level[j]) for i in range(20) for j in range(90) if i == 0 or rng.random() < 0.1]
+    skip = [(f"u{u}", j) for u in range(45) for j in range(95) if rng.random() < 0.05]
+    want = defaultdict(int)
+    for u, i, w, b in rows:
+        for k, j, c, v in links:
+            if u is not None and k == i and v >= b and (u, j) not in set(skip):
+                want[u, j] += w * c
+    args = (
+        spark.createDataFrame(rows, "user string, item bigint, weight int, bound int"), spark.createDataFrame(links, "item bigint, other bigint, cosine bigint, level int"), spark.createDataFrame(skip, "user string, item bigint"),
+    )
+    got = [tuple(r) for r in sim.linked_sums(*args, block=block).collect()]  # sums of 0 are rows too
+    assert len(got) == len(want) and {(u, j): s for u, j, s in got} == want
+    best = defaultdict(list)
+    for (u, j), s in want.items():
+        best[u] += [(-s, j)] if s >= 2 else []
+    got = {(r.user, r.item, r.score) for r in sim.linked_sums(*args, least=2, first=7, block=block).collect()}
+    assert got == {(u, j, -s) for u, found in best.items() for s, j in sorted(found)[:7]}
+
+
 def test_double_cut(spark):
     df = spark.createDataFrame([(1, i, 100 - i, float(i)) for i in range(10)] + [(2, 1, 5, 1.0)], "u int, i int, s int, f double")
     got = [(r.u, r.i, r["rank"]) for r in rec.double_cut(df, "u", "i", "s", F.col("f"), 4, 2).orderBy("u", "rank").collect()]
