@@ -83,6 +83,21 @@ def test_linked_sums_equal_brute_force(spark, monkeypatch, block):
     assert got == {(u, j, -s) for u, found in best.items() for s, j in sorted(found)[:7]}
 
 
+@pytest.mark.parametrize("which", ["collaborative"])
+def test_products_are_not_shuffled(spark, which):
+    """A popular item has 2,000 users and 300 links: 600,000 products from 2,300 rows."""
+    apps = spark.range(2000).select(F.col("id").alias("user"), F.lit(0).cast("bigint").alias("item"))
+    links = spark.range(1, 301).select(F.lit(0).cast("bigint").alias("item"), F.col("id").alias("other"), F.lit(7).cast("bigint").alias("cosine"))
+    if which == "collaborative":
+        out = sim.collaborative_scores(apps, "user", "item", links)
+    else:
+        similar = spark.range(2000).select(F.col("id").alias("user"), F.expr("id ^ 1").alias("other"), F.lit(3).cast("bigint").alias("sim"))
+        out = rec.product_scores(similar, apps, links, 21)
+    assert out.count() == 600_000
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan[: plan.index("MapInArrow")] and "Join" not in plan[: plan.index("MapInArrow")]  # nothing follows the products
+
+
 def test_double_cut(spark):
     df = spark.createDataFrame([(1, i, 100 - i, float(i)) for i in range(10)] + [(2, 1, 5, 1.0)], "u int, i int, s int, f double")
     got = [(r.u, r.i, r["rank"]) for r in rec.double_cut(df, "u", "i", "s", F.col("f"), 4, 2).orderBy("u", "rank").collect()]
