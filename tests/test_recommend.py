@@ -83,7 +83,7 @@ def test_linked_sums_equal_brute_force(spark, monkeypatch, block):
     assert got == {(u, j, -s) for u, found in best.items() for s, j in sorted(found)[:7]}
 
 
-@pytest.mark.parametrize("which", ["collaborative"])
+@pytest.mark.parametrize("which", ["collaborative", "product"])
 def test_products_are_not_shuffled(spark, which):
     """A popular item has 2,000 users and 300 links: 600,000 products from 2,300 rows."""
     apps = spark.range(2000).select(F.col("id").alias("user"), F.lit(0).cast("bigint").alias("item"))
