@@ -150,6 +150,34 @@ def test_latent_vectors_equal_svd(spark):
     assert np.allclose(have @ have.T, want @ want.T, atol=1e-8)  # signs are free
 
 
+def test_latent_vectors_are_fitted_on_all_documents(spark):
+    """The last 3,000 of 53,000 documents have terms of their own, which are the strongest factors."""
+    weights = spark.range(53_000).select(F.col("id").alias("k"), F.when(F.col("id") < 50_000, F.concat(F.lit("a"), (F.col("id") % 50).cast("string"))).otherwise("z").alias("term"), F.lit(1.0).alias("weight"))
+    got = {r.k: r.vector for r in rec.latent_vectors(weights, "k", 1).where("k % 1000 = 0").collect()}
+    assert len(got) == 53 and all(abs(abs(v[0]) - (k >= 50_000)) < 1e-9 for k, v in got.items())
+
+
+def test_neighbours_over_many_blocks(spark):
+    """Equal similarities are parted by key, whatever block they come in; each query has k rows before any shuffle."""
+    rng = np.random.default_rng(5)
+    data = [(i, [float(x) for x in rng.integers(0, 4, 3)]) for i in range(1500)]
+    df = spark.createDataFrame([*data, (7777, None)], "id int, v array<float>").repartition(3)
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in data if any(v)}
+    want = set()
+    for q in (i for i in unit if i % 30 == 0):
+        near = sorted((-round(float(unit[q] @ u), 4), i) for i, u in unit.items() if i != q)[:40]
+        want |= {(q, i, n) for n, (s, i) in enumerate(near, 1) if s <= -0.9}
+    found = sim.cosine_neighbours(df, df.where("id % 30 = 0"), "id", "v", 40, 0.9)
+    assert {(r.query_id, r.id, r["rank"]) for r in found.collect()} == want
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+    ids, u = (np.array(x) for x in zip(*((i, unit[i]) for i in unit if i % 30 == 0), strict=True))
+    from marketlens.session import written
+
+    files = written(df.select(F.col("id").cast("bigint"), F.col("v").cast("array<double>")).where("v IS NOT NULL"), "test").inputFiles()
+    rows = [r for part in sim._nearest(ids, u, files, 40, 0.9, rows=100, step=7) for r in zip(*(c.tolist() for c in part), strict=True)]
+    assert {(q, i, n) for q, i, _, n in rows} == want and len(rows) == len(want)
+
+
 def test_hash_is_that_of_other_engines(spark):
     import hashlib
 
