@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.keys import portable_hash
+from marketlens.session import written
 
 
 def text_features(words: str = "words", size: int = 4096) -> list:
@@ -37,8 +38,8 @@ def confusion(train: DataFrame, test: DataFrame, label: str, forest: bool = Fals
     return predicted.groupBy(F.col(label).alias("label"), "predicted").agg(F.count(F.lit(1)).alias("n"))
 
 
-def best_two(train: DataFrame, rows: DataFrame, key: str, label: str) -> DataFrame:
-    """``key, first, second, p_first, p_second``: the two likeliest labels of each row by a random forest; ties go to the more frequent label."""
+def best_two(train: DataFrame, rows: DataFrame, key: str, label: str, *more: str) -> DataFrame:
+    """``key, first, second, p_first, p_second`` and the columns ``more``: the two likeliest labels of each row by a random forest; ties go to the more frequent label."""
     index = StringIndexer(inputCol=label, outputCol="_y", handleInvalid="skip")
     fitted = Pipeline(stages=[*text_features(size=1024), index, RandomForestClassifier(labelCol="_y", numTrees=30, maxDepth=8, seed=0)]).fit(train)
     names = F.array(*map(F.lit, fitted.stages[-2].labels))
@@ -46,7 +47,7 @@ def best_two(train: DataFrame, rows: DataFrame, key: str, label: str) -> DataFra
     p = fitted.transform(unlabelled).withColumn("_p", vector_to_array("probability"))
     ranked = p.withColumn("_r", F.slice(F.sort_array(F.transform("_p", lambda x, i: F.struct(x.alias("p"), (-i).alias("i"))), asc=False), 1, 2))
     at = lambda k: F.get(names, -F.col("_r")[k]["i"])
-    return ranked.select(key, at(0).alias("first"), at(1).alias("second"), F.col("_r")[0]["p"].alias("p_first"), F.col("_r")[1]["p"].alias("p_second"))
+    return ranked.select(key, at(0).alias("first"), at(1).alias("second"), F.col("_r")[0]["p"].alias("p_first"), F.col("_r")[1]["p"].alias("p_second"), *more)
 
 
 def cross_confusion(rows: DataFrame, key: str, label: str, k: int) -> DataFrame:
@@ -65,16 +66,18 @@ def nested_labels(train: DataFrame, rows: DataFrame, key: str, area: str, label:
     ``train``: ``words``, area and label. An area with under ``least`` rows or a single label has no forest of its own: its
     commonest label is the first and there is no second. Areas are as many as a list of them holds.
     """
+    # each forest reads its rows many times: they are written once
+    train, rows = written(train.select("words", area, label).where(F.col(area).isNotNull()), "train"), written(rows.select(key, "words"), "rows")
     areas = best_two(train, rows, key, area).select(key, F.col("first").alias(area), F.col("p_first").alias("p_area"))
     counts = train.groupBy(area, label).agg(F.count(F.lit(1)).alias("n")).groupBy(area).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.max_by(label, F.struct("n", label)).alias("top"))
     found = counts.collect()  # one row an area
-    placed = rows.join(areas, key)
+    placed = written(areas.join(rows, key).select(key, "words", "p_area", area), "placed")
     small = [(r[area], r["top"]) for r in found if r["n"] < least or r["k"] < 2]
     spark = train.sparkSession
-    out = areas.join(spark.createDataFrame(small, f"{area} string, first string"), area).select(key, area, "p_area", "first", F.lit(None).cast("string").alias("second"))
+    out = placed.join(spark.createDataFrame(small, f"{area} string, first string"), area).select(key, area, "p_area", "first", F.lit(None).cast("string").alias("second"))
     for r in found:
         if r["n"] >= least and r["k"] >= 2:
             here = placed.where(F.col(area) == r[area])
-            two = best_two(train.where(F.col(area) == r[area]), here.select(key, "words"), key, label).select(key, "first", "second")
-            out = out.unionByName(two.join(here.select(key, area, "p_area"), key).select(key, area, "p_area", "first", "second"))
+            two = best_two(train.where(F.col(area) == r[area]), here, key, label, "p_area").select(key, F.lit(r[area]).alias(area), "p_area", "first", "second")
+            out = out.unionByName(two)
     return out

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marketlens.functions.keys import portable_hash
 from marketlens.functions.stemming import stem
 from marketlens.operators import recommend as rec
+from marketlens.operators import models
 from marketlens.operators import relational as rel
 from marketlens.operators import similarity as sim
 from marketlens.operators.entity_features import entity_features
@@ -178,6 +179,35 @@ def test_neighbours_over_many_blocks(spark):
     assert {(q, i, n) for q, i, _, n in rows} == want and len(rows) == len(want)
 
 
+def test_capped_neighbours_in_one_task(spark):
+    """As the 60 nearest, ranked under a cap of two a company by windows."""
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, [float(x) for x in rng.integers(0, 4, 3)], i % 7 or None) for i in range(600)], "id int, v array<double>, c int")
+    found = sim.cosine_neighbours(df, df.where("id % 30 = 0"), "id", "v", 60, 0.9, "c", 2, 5)
+    near = sim.cosine_neighbours(df, df.where("id % 30 = 0"), "id", "v", 60, 0.9).drop("rank")
+    want = rel.capped_top_k(near.join(df.select("id", "c"), "id"), "query_id", "c", [F.desc("similarity"), F.asc("id")], 2, 5).select(*found.columns)
+    got = {tuple(r) for r in found.collect()}
+    assert got == {tuple(r) for r in want.collect()} and len(got) == want.count() > 0
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan  # 300 rows a query would go through a shuffle
+
+
+def test_nested_labels_read_what_is_written(spark, monkeypatch):
+    """The rows' plan runs once, not anew for each area's forest."""
+    runs = spark.sparkContext.accumulator(0)
+
+    def words(i):  # noqa: ANN001, ANN202
+        runs.add(1)
+        return [f"w{i % 2}", f"v{i % 4}"]
+
+    made = F.udf(words, "array<string>").asNondeterministic()
+    rows = spark.range(400).select(F.col("id").alias("k"), made("id").alias("words"))
+    train = spark.range(400).select(F.array(F.concat(F.lit("w"), (F.col("id") % 2).cast("string")), F.concat(F.lit("v"), (F.col("id") % 4).cast("string"))).alias("words"), F.concat(F.lit("a"), (F.col("id") % 2).cast("string")).alias("area"), F.concat(F.lit("l"), (F.col("id") % 4).cast("string")).alias("label"))
+    got = models.nested_labels(train, rows, "k", "area", "label").collect()
+    assert {(r.k, r.area, r.first, r.second) for r in got} == {(i, f"a{i % 2}", f"l{i % 4}", f"l{(i + 2) % 4}") for i in range(400)} and len(got) == 400
+    assert runs.value <= 400
+
+
 def test_hash_is_that_of_other_engines(spark):
     import hashlib
 
