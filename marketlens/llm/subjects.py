@@ -5,7 +5,7 @@ which grow with a term's rarity and its purity, and a document's share of a subj
 over the number of its sentences on any subject, so that length makes no difference. Every subject whose share reaches
 the subject's threshold is assigned; thresholds are calibrated on labelled documents that no weight was fitted on.
 
-The terms start from a short curated list and from hand labels (a bounded sample of labelled documents), and are then
+The terms start from a short curated list and from the hand labels of all labelled documents, and are then
 weighed over the whole corpus: words and phrases are counted by the subject of the sentences they stand in, in one
 distributed pass for each round. Texts are handled in chunks, as arrays of word codes: matching, scoring and counting
 are array operations.
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.llm.leakage import bare, words
-from marketlens.session import spread, written
+from marketlens.session import broadcastable, spread, written
 
 CURATED = {
     "software": "code software server database bug deployment login query compiler refactoring debugging programmer developer",
@@ -62,8 +62,6 @@ CURATED_OTHER = {
 }
 """The same in Spanish and German, without marks."""
 
-LABELLED = 20_000
-"""Most labelled documents the first weights are fitted, and the thresholds calibrated, on."""
 HELD_OUT = 5
 """One in so many labelled documents is kept from the fit, for the calibration."""
 ROUNDS = 2
@@ -318,7 +316,7 @@ def first_lexicon(labelled: DataFrame, subjects: dict[str, str]) -> Lexicon:
     curated = {w: (s, 1.0 + float(np.log1p(len(subjects)))) for s in subjects for w in (f"{CURATED.get(s, '')} {CURATED_OTHER.get(s, '')}".strip() or " ".join(words(subjects[s]))).split()}
 
     def terms() -> Iterator[tuple[str, str, float]]:
-        for r in rows.toLocalIterator():  # terms of at most LABELLED documents
+        for r in rows.toLocalIterator():  # terms of the labelled documents
             curated.pop(r["phrase"], None)
             yield tuple(r)
         yield from ((term, *what) for term, what in curated.items())
@@ -364,19 +362,18 @@ def document_shares(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     return spread(docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")).mapInArrow(share, "doc_id bigint, subject string, sentences bigint, share double, of_all bigint")
 
 
-def labelled_sample(labels: DataFrame, subjects: Iterable[str], most: int = LABELLED) -> DataFrame:
-    """``doc_id, subject, held_out``: at most ``most`` labelled documents, by hash; of disagreeing labellers the majority, a tie says nothing."""
+def labelled_documents(labels: DataFrame, subjects: Iterable[str]) -> DataFrame:
+    """``doc_id, subject, held_out``: all labelled documents, those held out by hash; of disagreeing labellers the majority, a tie says nothing."""
     named = labels.select("doc_id", F.lower(F.trim("subject")).alias("subject")).where(F.col("subject").isin(*subjects) & F.col("doc_id").isNotNull())
     votes = named.groupBy("doc_id", "subject").agg(F.count(F.lit(1)).alias("n")).groupBy("doc_id").agg(F.max("n").alias("m"), F.collect_list(F.struct("subject", "n")).alias("v"))
     clear = votes.select("doc_id", F.filter("v", lambda x: x["n"] == F.col("m")).alias("v")).where("size(v) = 1").select("doc_id", F.col("v")[0]["subject"].alias("subject"))
-    hashed = F.xxhash64("doc_id")
-    return clear.orderBy(hashed, "doc_id").limit(most).withColumn("held_out", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(HELD_OUT)) == 0)
+    return clear.withColumn("held_out", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(HELD_OUT)) == 0)
 
 
 def fit(docs: DataFrame, sample: DataFrame, described: dict[str, str], rounds: int = ROUNDS) -> Lexicon:
-    """The lexicon of a corpus, from the curated list, the labelled sample (without what is held out) and all its sentences."""
+    """The lexicon of a corpus, from the curated list, the labelled documents (without what is held out) and all its sentences."""
     fitted = sample.where("NOT held_out").select("doc_id", "subject")
-    labelled = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(fitted), "doc_id")  # at most LABELLED short rows
+    labelled = docs.select("doc_id", "text").where("text IS NOT NULL").join(broadcastable(fitted), "doc_id")
     lexicon = first_lexicon(labelled, described)
     for _ in range(rounds):
         lexicon = corpus_lexicon(docs, lexicon)
@@ -391,7 +388,7 @@ def thresholds(shares: DataFrame, held_out: DataFrame, labels: DataFrame, grid:
     without held-out documents have no row.
     """
     named = labels.select("doc_id", F.lower(F.trim("subject")).alias("subject")).distinct().withColumn("named", F.lit(True))
-    held = shares.join(F.broadcast(held_out.select("doc_id").distinct()), "doc_id").where(F.col("sentences") >= LEAST_SENTENCES)  # at most LABELLED ids
+    held = shares.join(broadcastable(held_out.select("doc_id").distinct()), "doc_id").where(F.col("sentences") >= LEAST_SENTENCES)
     judged = held.join(named, ["doc_id", "subject"], "left").select("subject", "share", F.coalesce("named", F.lit(False)).alias("named"))
     right = judged.withColumn("t", F.explode(F.array(*map(F.lit, grid)))).groupBy("subject", "t").agg(F.count_if((F.col("share") >= F.col("t")) == F.col("named")).alias("n"))
     pooled = right.groupBy("t").agg(F.sum("n").alias("all_n"), F.count(F.lit(1)).alias("k"))  # one row a threshold
@@ -404,18 +401,18 @@ def _passing(shares: DataFrame, least: Column) -> DataFrame:
     return shares.where((F.col("share") >= least) & ((F.col("sentences") >= LEAST_SENTENCES) | ((F.col("share") == 1) & (F.col("sentences") >= LEAST_OF_ALL * F.col("of_all")))))
 
 
-def _fitted_shares(docs: DataFrame, labels: DataFrame, subjects: DataFrame, most_labelled: int, **kw: object) -> tuple[DataFrame, DataFrame]:
+def _fitted_shares(docs: DataFrame, labels: DataFrame, subjects: DataFrame, **kw: object) -> tuple[DataFrame, DataFrame]:
     named = subjects.where("subject IS NOT NULL").limit(MOST_NAMES + 1).collect()
     if len(named) > MOST_NAMES:
         raise ValueError("more subjects than a list of subjects holds")
     described = {r["subject"].strip().lower(): r["description"] or "" for r in named}
-    sample = written(labelled_sample(labels, described, most_labelled), "labelled")
+    sample = written(labelled_documents(labels, described), "labelled")
     shares = document_shares(docs, fit(docs, sample, described, **kw))
     once = shares.groupBy("doc_id", "subject").agg(F.max("sentences").alias("sentences"), F.max("share").alias("share"), F.max("of_all").alias("of_all"))
     return written(once, "shares"), sample
 
 
-def document_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, most: int | None = None, most_labelled: int = LABELLED, **kw: object) -> DataFrame:
+def document_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, most: int | None = None, **kw: object) -> DataFrame:
     """``doc_id, subject, sentences, share``: the subjects of each document, the ``most`` first or all.
 
     A subject needs its threshold of the sentences that have a subject (see ``thresholds``; LEAST_SHARE without
@@ -423,7 +420,7 @@ def document_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, m
     alphabetical order. Documents with a null or empty text, or without any subject matter, have no row; of repeated
     rows of a document the one with most sentences on the subject counts. Without labels the curated list has to do.
     """
-    shares, sample = _fitted_shares(docs, labels, subjects, most_labelled, **kw)
+    shares, sample = _fitted_shares(docs, labels, subjects, **kw)
     limits = F.broadcast(thresholds(shares, sample.where("held_out"), labels))  # one row a subject
     passing = _passing(shares.join(limits, "subject", "left"), F.coalesce("threshold", F.lit(LEAST_SHARE))).select("doc_id", "subject", "sentences", "share")
     if most is None:
@@ -432,9 +429,9 @@ def document_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, m
     return passing.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= most).drop("_r")
 
 
-def held_out_agreement(docs: DataFrame, labels: DataFrame, subjects: DataFrame, most_labelled: int = LABELLED, **kw: object) -> DataFrame:
+def held_out_agreement(docs: DataFrame, labels: DataFrame, subjects: DataFrame, **kw: object) -> DataFrame:
     """``subject, n_labels, n_assigned``: of labels that nothing was fitted on, how many name an assigned subject, at the LEAST_SHARE that no label has set."""
-    shares, sample = _fitted_shares(docs, labels, subjects, most_labelled, **kw)
+    shares, sample = _fitted_shares(docs, labels, subjects, **kw)
     passing = _passing(shares, F.lit(LEAST_SHARE)).select("doc_id", "subject", F.lit(1).alias("hit"))
     held = sample.where("held_out").join(passing, ["doc_id", "subject"], "left")
     return held.groupBy("subject").agg(F.count(F.lit(1)).alias("n_labels"), F.count("hit").alias("n_assigned"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlens.llm.mixture import _first_beyond, token_counts, weighted_mix
-from marketlens.llm.subjects import Chunk, document_subjects, thresholds
+from marketlens.llm.subjects import Chunk, document_subjects, labelled_documents, thresholds
 
 TARGETS = [("A", 0.5, 1), ("b_b", 0.3, 3), ("c", 0.2, 10), ("none", 0.1, 2), ("never", 0.1, 0), ("zero", 0.0, 2), (None, 0.4, 1), ("nan", None, 1)]
 
@@ -164,3 +164,10 @@ def test_subjects_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert document_subjects(docs, labels, subjects).count() == 0
     assert document_subjects(docs, labels, subjects.limit(0)).count() == 0
+
+
+def test_all_labelled_documents_are_fitted_or_held_out(spark):
+    """More labels than the 20,000 that were taken before."""
+    labels = spark.range(25_000).select(F.col("id").alias("doc_id"), F.lit("law").alias("subject"))
+    rows = labelled_documents(labels, ["law"])
+    assert rows.count() == 25_000 and 4_000 < rows.where("held_out").count() < 6_000
