@@ -13,6 +13,7 @@ from marketlens.operators import models
 from marketlens.operators import relational as rel
 from marketlens.operators import similarity as sim
 from marketlens.operators.entity_features import entity_features
+from marketlens.plans import catalog
 from marketlens.sources import files
 
 
@@ -99,6 +100,14 @@ def test_products_are_not_shuffled(spark, which):
     assert "Aggregate" not in plan[: plan.index("MapInArrow")] and "Join" not in plan[: plan.index("MapInArrow")]  # nothing follows the products
 
 
+def test_product_scores_end_with_the_products(spark):
+    """The whole query: a popular job's products are summed where they arise, and go to no aggregation, join or shuffle."""
+    out = catalog.QUERIES["product_scores"](spark, "/root/testdata/sf0.01")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.split()[0] == "MapInArrow"
+    assert out.where("score < 50000").count() == 0 < out.count()
+
+
 def test_double_cut(spark):
     df = spark.createDataFrame([(1, i, 100 - i, float(i)) for i in range(10)] + [(2, 1, 5, 1.0)], "u int, i int, s int, f double")
     got = [(r.u, r.i, r["rank"]) for r in rec.double_cut(df, "u", "i", "s", F.col("f"), 4, 2).orderBy("u", "rank").collect()]
